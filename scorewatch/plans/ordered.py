@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 
 def _cols(xs):
@@ -90,7 +91,7 @@ def bucketed_exclusive_prefix(df: DataFrame, groups: list[str], order: str, valu
     bound = 100_000
     if len(sketch) * buckets > bound:
         raise ValueError(f"too many groups for bucketed prefix: {len(sketch)}")
-    schema = df.select(*groups).schema.add("_cuts", "array<double>")
+    schema = df.select(*groups).schema.add("_cuts", ArrayType(DoubleType()))
     cuts = spark.createDataFrame([tuple(r[g] for g in groups) + ([float(x) for x in (r["_cuts"] or [])],)
                                   for r in sketch], schema)
     with_bucket = (df.join(F.broadcast(cuts), on=groups, how="inner")
