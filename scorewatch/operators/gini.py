@@ -36,14 +36,23 @@ from .periods import assign_periods
 GROUP = ["series", "Period"]
 
 
-def gini_by_period(stacked: DataFrame, series: list[str], periods, score_buckets: int = 64) -> DataFrame:
+def gini_by_period(stacked: DataFrame, series: list[str], periods, score_buckets: int = 64,
+                   materialize: bool = True) -> DataFrame:
     """Return series, Period, Start_Date, End_Date, Sample_Size, Bad_Rate_Pct, Gini.
 
+    ``materialize`` writes the period-assigned rows to the checkpoint
+    directory (``spark.checkpoint.dir``) before they are aggregated.
+
     ``series`` lists every series id expected in the output (a period with
     no rows still yields a row); ``periods`` is [(name, start, end)].
     """
     spark = stacked.sparkSession
     rows = assign_periods(stacked.where(F.col("target").isNotNull()), "obs_date", periods)
+    if materialize:
+        # The rows feed three aggregates and the score sketch; write them once
+        # to the checkpoint directory so the upstream joins run once and a
+        # lost executor does not replay them.
+        rows = rows.checkpoint(eager=True)
 
     per_customer = rows.groupBy(*GROUP, "cid").agg(F.max("target").alias("_good"))
     sizes = per_customer.groupBy(*GROUP).agg(
