@@ -43,7 +43,7 @@ def as_date_text(c, dtype: DataType | None = None) -> Column:
 
 def _ymd(y: Column, m: Column, d: Column) -> Column:
     text = F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))
-    return F.try_to_date(text, F.lit("yyyy-MM-dd"))
+    return F.try_to_date(text, "yyyy-MM-dd")
 
 
 def normalise_date(text: Column, min_date, max_date) -> tuple[Column, Column]:

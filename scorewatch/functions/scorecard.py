@@ -103,8 +103,8 @@ def employment_start(c) -> Column:
     s = col(c).cast("string")
     n = F.length(s)
     month_text = F.concat_ws("-", F.substring(s, 1, 4), F.lpad(F.substring(s, 6, 2), 2, "0"), F.lit("01"))
-    return (F.when(n.isin(6, 7), F.try_to_date(month_text, F.lit("yyyy-MM-dd")))
-            .when(n == 10, F.try_to_date(s, F.lit("yyyy-MM-dd"))))
+    return (F.when(n.isin(6, 7), F.try_to_date(month_text, "yyyy-MM-dd"))
+            .when(n == 10, F.try_to_date(s, "yyyy-MM-dd")))
 
 
 def tenure_years(employment_date, as_of) -> Column:

@@ -23,8 +23,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 
-def _cols(xs):
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
+def _spec(order):
+    """Order spec: column names (ascending) or (name, ascending) pairs."""
+    return [(o, True) if isinstance(o, str) else (o[0], bool(o[1])) for o in order]
+
+
+def _cols(order):
+    """Window ordering expressions for an order spec."""
+    return [F.col(n).asc() if asc else F.col(n).desc() for n, asc in _spec(order)]
+
+
+def _key(order):
+    """Struct whose natural ordering equals the spec (descending numeric
+    columns are negated), for ``min_by``."""
+    return F.struct(*[(F.col(n) if asc else -F.col(n)).alias(f"_k{i}") for i, (n, asc) in enumerate(_spec(order))])
 
 
 def chunked_running_sum(df: DataFrame, keys: list[str], chunk: str, order: list,
@@ -57,14 +69,13 @@ def chunked_next(df: DataFrame, keys: list[str], chunk: str, order: list,
     Inside a chunk the next row comes from a window over (keys, chunk); the
     last row of a chunk takes the first value of the next chunk of its key.
     """
-    ordered = _cols(order)
-    inner = Window.partitionBy(*keys, chunk).orderBy(*ordered)
+    inner = Window.partitionBy(*keys, chunk).orderBy(*_cols(order))
     # "Has a following row" is told apart from "the following value is null"
     # by a lead over a constant.
     local = (df.withColumn("_next_local", F.lead(value).over(inner))
              .withColumn("_has_next", F.lead(F.lit(1)).over(inner).isNotNull()))
     firsts = df.groupBy(*keys, chunk).agg(
-        F.min_by(F.col(value), F.struct(*ordered)).alias("_first_value"))
+        F.min_by(F.col(value), _key(order)).alias("_first_value"))
     across = Window.partitionBy(*keys).orderBy(chunk)
     following = firsts.select(*keys, chunk, F.lead("_first_value").over(across).alias("_next_chunk_first"))
     return (local.join(following, on=[*keys, chunk], how="inner")

@@ -161,7 +161,7 @@ SELECT CAST(o_custkey AS STRING) AS user_id,
        l_linenumber AS installment_number,
        l_extendedprice * (1 + l_tax) AS outstanding_balance,
        l_extendedprice AS paid_amount,
-       l_extendedprice * (1 - l_discount) AS paid_principal,
+       FLOOR(l_extendedprice * (1 - l_discount) * 100) / 100 AS paid_principal,
        l_partkey AS part_key,
        l_suppkey AS supp_key
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
