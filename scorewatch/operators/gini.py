@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.ordered import bucketed_exclusive_prefix
+from ..session import ensure_checkpoint_dir
 from .periods import assign_periods
 
 GROUP = ["series", "Period"]
@@ -52,6 +53,7 @@ def gini_by_period(stacked: DataFrame, series: list[str], periods, score_buckets
         # The rows feed three aggregates and the score sketch; write them once
         # to the checkpoint directory so the upstream joins run once and a
         # lost executor does not replay them.
+        ensure_checkpoint_dir(spark)
         rows = rows.checkpoint(eager=True)
 
     per_customer = rows.groupBy(*GROUP, "cid").agg(F.max("target").alias("_good"))

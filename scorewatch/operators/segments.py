@@ -46,7 +46,8 @@ def _filled(value: str, pos: str, w_all) -> Column:
 def segment_ranges(df: DataFrame, score: str, segment: str) -> DataFrame:
     """Six rows (segment, pos, min, max) with steps 1-2 applied."""
     spark = df.sparkSession
-    valid = df.where(F.col(segment).isNotNull() & valid_number(score))
+    # Only the six letters matter, so the aggregate is at most six rows.
+    valid = df.where(F.col(segment).cast("string").isin(SEGMENTS) & valid_number(score))
     agg = valid.groupBy(F.col(segment).cast("string").alias("segment")).agg(
         F.min(score).alias("mn"), F.max(score).alias("mx"))
     letters = spark.createDataFrame([(s, i + 1) for i, s in enumerate(SEGMENTS)], "segment string, pos int")

@@ -69,6 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared directory for this cluster")
     local = tempfile.mkdtemp(prefix="scorewatch-ckpt-")
     sc.setCheckpointDir(local)
     return local

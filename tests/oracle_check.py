@@ -46,6 +46,17 @@ def duck(sf_dir: str):
     return con
 
 
+_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+          "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "smallint": "SMALLINT",
+          "float": "FLOAT"}
+
+
+def type_diffs(df, res):
+    spark_t = {n: _TYPES.get(t, t) for n, t in df.dtypes}
+    duck_t = {d[0]: str(d[1]) for d in res.description}
+    return {n: (spark_t[n], duck_t.get(n)) for n in spark_t if spark_t[n] != duck_t.get(n)}
+
+
 def check(spark, con, name, fn, sql, sf_dir, verbose=True):
     t0 = time.time()
     df = fn(spark, sf_dir)
@@ -60,6 +71,9 @@ def check(spark, con, name, fn, sql, sf_dir, verbose=True):
     dcols, drows = rows_of(dcols_raw, res.fetchall())
     ok_cols = scols == dcols
     ok = ok_cols and srows == drows
+    td = type_diffs(df, res)
+    if td:
+        print(f"  {name}: type differences {td}")
     print(f"{name}: {'OK' if ok else 'MISMATCH'} spark={len(srows)} duck={len(drows)} ({t1 - t0:.1f}s)")
     if not ok and verbose:
         if not ok_cols:
