@@ -66,3 +66,9 @@ def assert_unique(df: DataFrame, keys: list[str], what: str = "lookup") -> DataF
     if dup:
         raise ValueError(f"{what} is not unique on {keys}: {[tuple(r) for r in dup]}")
     return df
+
+
+def rows_at_latest(df: DataFrame, date_col: str) -> DataFrame:
+    """Rows of the latest date (uncorrelated scalar subquery, run once)."""
+    latest = df.agg(F.max(date_col)).scalar()
+    return df.where(F.col(date_col) == latest)
