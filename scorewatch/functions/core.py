@@ -72,8 +72,9 @@ def pct(c, digits: int) -> Column:
 
 
 def clamp01(c) -> Column:
-    """Clip to [0, 1]."""
-    return F.least(F.greatest(col(c), F.lit(0.0)), F.lit(1.0))
+    """Clip to [0, 1]; a null stays null (``greatest`` alone skips nulls)."""
+    c = col(c)
+    return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0)))
 
 
 def flag(cond: Column) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.bands import SEGMENTS
-from ..functions.core import valid_number
+from ..functions.core import clamp01, valid_number
 
 TOP_EDGE = math.nextafter(1.0, 2.0)
 CUT_NAMES = ["AB", "BC", "CD", "DE", "EF"]
@@ -51,9 +51,8 @@ def segment_ranges(df: DataFrame, score: str, segment: str) -> DataFrame:
     agg = valid.groupBy(F.col(segment).cast("string").alias("segment")).agg(
         F.min(score).alias("mn"), F.max(score).alias("mx"))
     letters = spark.createDataFrame([(s, i + 1) for i, s in enumerate(SEGMENTS)], "segment string, pos int")
-    clamp = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
     six = letters.join(F.broadcast(agg), "segment", "left") \
-        .select("segment", "pos", clamp(F.col("mn")).alias("mn"), clamp(F.col("mx")).alias("mx")) \
+        .select("segment", "pos", clamp01("mn").alias("mn"), clamp01("mx").alias("mx")) \
         .withColumn("_g", F.lit(0))
     w_all = Window.partitionBy("_g").orderBy("pos")
     return six.select("segment", "pos", _filled("mn", "pos", w_all).alias("min_score"),
