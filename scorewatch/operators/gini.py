@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.ordered import bucketed_exclusive_prefix
-from ..session import ensure_checkpoint_dir
+from ..plans.staging import stage
 from .periods import assign_periods
 
 GROUP = ["series", "Period"]
@@ -41,8 +41,8 @@ def gini_by_period(stacked: DataFrame, series: list[str], periods, score_buckets
                    materialize: bool = True) -> DataFrame:
     """Return series, Period, Start_Date, End_Date, Sample_Size, Bad_Rate_Pct, Gini.
 
-    ``materialize`` writes the period-assigned rows to the checkpoint
-    directory (``spark.checkpoint.dir``) before they are aggregated.
+    ``materialize`` stages the period-assigned rows as a table under the
+    checkpoint directory (``spark.checkpoint.dir``) before they are aggregated.
 
     ``series`` lists every series id expected in the output (a period with
     no rows still yields a row); ``periods`` is [(name, start, end)].
@@ -50,11 +50,10 @@ def gini_by_period(stacked: DataFrame, series: list[str], periods, score_buckets
     spark = stacked.sparkSession
     rows = assign_periods(stacked.where(F.col("target").isNotNull()), "obs_date", periods)
     if materialize:
-        # The rows feed three aggregates and the score sketch; write them once
-        # to the checkpoint directory so the upstream joins run once and a
+        # The rows feed three aggregates and the score sketch; stage them once
+        # under the checkpoint directory so the upstream joins run once and a
         # lost executor does not replay them.
-        ensure_checkpoint_dir(spark)
-        rows = rows.checkpoint(eager=True)
+        rows = stage(rows, "gini-rows")
 
     per_customer = rows.groupBy(*GROUP, "cid").agg(F.max("target").alias("_good"))
     sizes = per_customer.groupBy(*GROUP).agg(

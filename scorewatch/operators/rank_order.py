@@ -21,14 +21,21 @@ def _subset(df: DataFrame, where) -> DataFrame:
     return df.where(F.expr(where) if isinstance(where, str) else where)
 
 
-def repay_rank_order(df: DataFrame, segment: str, where, model_label: str, period_label: str,
+def repay_rank_order(df: DataFrame, segment: str, where, model_label, period_label: str,
                      run_month: str, target: str = "oop_target", cid: str = "ee_customer_id",
-                     money_digits: int | None = 2) -> DataFrame:
-    """Count, balances, bad rate and money bad rate per segment."""
+                     money_digits: int | None = 2, by: list[str] | None = None) -> DataFrame:
+    """Count, balances, bad rate and money bad rate per segment.
+
+    ``model_label`` is a string or a Column (with ``by`` naming extra
+    grouping columns, e.g. a version column when several versions are
+    aggregated in one pass).
+    """
+    by = by or []
     sub = _subset(df, where).where(F.col(segment).isNotNull())
     bad = (1 - F.col(target))
     money = (lambda c: F.round(c, money_digits)) if money_digits is not None else (lambda c: c)
-    agg = sub.groupBy(F.col(segment).cast("string").alias("RiskGroup")).agg(
+    label = model_label if isinstance(model_label, Column) else F.lit(model_label)
+    agg = sub.groupBy(*by, F.col(segment).cast("string").alias("RiskGroup")).agg(
         F.count(cid).alias("Count"),
         F.sum(bad).alias("_bad"),
         F.coalesce(F.sum("osbal_as_of_resignation_date"), F.lit(0.0)).alias("_res"),
@@ -39,7 +46,7 @@ def repay_rank_order(df: DataFrame, segment: str, where, model_label: str, perio
         money(F.col("_bad_today")).alias("Sum_Osbal_Bads_Today"),
         pct(safe_ratio("_bad", "Count"), 1).alias("Bad_Rate_Pct"),
         pct(safe_ratio("_bad_today", "_res"), 1).alias("Outstanding_Bad_Rate"),
-        F.lit(model_label).alias("ModelVersion"),
+        label.alias("ModelVersion"),
         F.lit(period_label).alias("Period"),
         segment_order("RiskGroup").alias("Segment_Order"),
         F.lit(run_month).alias("RunMonth"))

@@ -11,6 +11,7 @@ from ..operators.rank_order import attrition_rank_order, month_range, repay_rank
 from ..operators.segments import cutoff_table, derive_cuts, with_derived_segment
 from . import frames as fr
 from .params import Params
+from .staging import stage
 
 NEW, EXISTING = "New users (< 3MOB)", "Existing users (>= 3MOB)"
 OOP, ATTR = "OOP Repay", "Attrition"
@@ -26,14 +27,22 @@ class Monitoring:
     resignation) to DataFrames.
     """
 
-    def __init__(self, tables, params: Params):
+    def __init__(self, tables, params: Params, materialize: bool = True):
         self.t = tables
         self.p = params
+        self.materialize = materialize
         self._memo: dict[str, DataFrame] = {}
 
-    def _get(self, name, build):
+    def _get(self, name, build, shared: bool = False):
+        """Build a frame once per run. ``shared`` frames feed several
+        branches of one report (e.g. cut points and both pivots); they are
+        staged once under the checkpoint directory so their joins run once
+        and a lost executor does not replay them."""
         if name not in self._memo:
-            self._memo[name] = build()
+            df = build()
+            if shared and self.materialize:
+                df = stage(df, name)
+            self._memo[name] = df
         return self._memo[name]
 
     @property
@@ -54,6 +63,11 @@ class Monitoring:
         return self._get("oop_ex", lambda: fr.oop_existing_calc(
             self.batch_base, self.t["targets"], self.t["backscore_oop_new"], self.t["backscore_oop_existing"]))
 
+    def staged(self, name: str) -> DataFrame:
+        """A master frame that one report reads more than once (cut points
+        and pivots), staged under the checkpoint directory."""
+        return self._get(f"staged:{name}", lambda: getattr(self, name), shared=True)
+
     @property
     def attr_prod_new(self):
         return self._get("apn", lambda: fr.attr_prod_api_calc(self.api_base, self.t["resignation"],
@@ -149,23 +163,26 @@ class Monitoring:
 
     def repay_rank_order_new(self) -> DataFrame:
         """v1 by production segment, v2 by segments re-derived from the production edges."""
-        base = with_derived_segment(self.oop_new, "score_oop", "oop_risk_segment_prod", "oop_risk_segment_bs")
-        where = self._new_window("onboarding_date_ym")
-        lab = self.p.new_user_period_label
-        v1 = repay_rank_order(base, "oop_risk_segment_prod", where, "OOP v1.0 Prod", lab, self.p.run_month)
-        v2 = repay_rank_order(base.where(valid_number("score_oop")), "oop_risk_segment_bs", where,
-                              "OOP v2.0 BS", lab, self.p.run_month)
-        return v1.unionByName(v2)
+        base = with_derived_segment(self.staged("oop_new"), "score_oop", "oop_risk_segment_prod",
+                                    "oop_risk_segment_bs")
+        return self._repay_versions(base.where(self._new_window("onboarding_date_ym")), self.p.new_user_period_label)
+
+    def _repay_versions(self, base: DataFrame, period_label: str) -> DataFrame:
+        """v1 (production segment) and v2 (re-derived segment, re-scored rows
+        only) in one aggregate: each row is listed under both versions."""
+        versions = F.array(
+            F.struct(F.lit("OOP v1.0 Prod").alias("version"), F.col("oop_risk_segment_prod").alias("segment")),
+            F.struct(F.lit("OOP v2.0 BS").alias("version"),
+                     F.when(valid_number("score_oop"), F.col("oop_risk_segment_bs")).alias("segment")))
+        both = base.withColumn("_v", F.explode(versions)).select("*", "_v.version", "_v.segment").drop("_v")
+        return repay_rank_order(both, "segment", None, F.col("version"), period_label, self.p.run_month,
+                                by=["version"])
 
     def repay_rank_order_existing(self) -> DataFrame:
         """As R3 on the existing-user snapshot month."""
-        base = with_derived_segment(self.oop_existing, "score_oop", "oop_risk_segment_prod", "oop_risk_segment_bs")
-        where = F.col("run_date_ym") == self.p.snapshot_ym
-        lab = self.p.snapshot_label
-        v1 = repay_rank_order(base, "oop_risk_segment_prod", where, "OOP v1.0 Prod", lab, self.p.run_month)
-        v2 = repay_rank_order(base.where(valid_number("score_oop")), "oop_risk_segment_bs", where,
-                              "OOP v2.0 BS", lab, self.p.run_month)
-        return v1.unionByName(v2)
+        base = with_derived_segment(self.staged("oop_existing"), "score_oop", "oop_risk_segment_prod",
+                                    "oop_risk_segment_bs")
+        return self._repay_versions(base.where(F.col("run_date_ym") == self.p.snapshot_ym), self.p.snapshot_label)
 
     def attrition_rank_order_new(self) -> DataFrame:
         """Production bands vs re-scored bands, new users."""
