@@ -82,7 +82,7 @@ SELECT CAST(o_custkey AS STRING) AS ee_customer_id,
        {_TTL} AS attrition_time_to_leave,
        {_PROD_SCORE} AS oop_score_prod,
        {_PROD_SEG} AS oop_risk_segment_prod,
-       o_totalprice / 10 AS credit_limit
+       FLOOR(o_totalprice * 10) / 100 AS credit_limit
 FROM {{orders}}""",
 
     # One row per order line: the batch table repeats a score once per line,
@@ -241,7 +241,7 @@ FROM {{customer}}""",
     "portfolio_snapshot": """
 SELECT last_day(CAST(l_shipdate AS DATE)) AS report_month_end,
        l_extendedprice AS credit_limit,
-       CASE WHEN l_linestatus = 'O' THEN l_extendedprice * (1 - l_discount) ELSE 0 END AS unpaid_principal_balance
+       CASE WHEN l_linestatus = 'O' THEN FLOOR(l_extendedprice * (1 - l_discount) * 100) / 100 ELSE 0 END AS unpaid_principal_balance
 FROM {lineitem}""",
 }
 
