@@ -149,7 +149,7 @@ class Monitoring:
         perf = performance if performance is not None else self.model_performance()
         current = (perf.where(F.col("Period").isin(list(self.p.headline_periods)))
                    .groupBy("UserType", "Model", "ModelVersion")
-                   .agg(F.bround(F.avg("Gini"), 4).alias("Avg_Gini"),
+                   .agg(F.bround(F.avg("Gini"), 6).alias("Avg_Gini"),
                         F.count("Gini").alias("Periods_Used")))
         dev = perf.where(F.col("Period") == "Dev").select("UserType", "Model", "ModelVersion",
                                                           F.col("Gini").alias("Dev_Gini"))
