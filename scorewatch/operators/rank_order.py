@@ -75,3 +75,22 @@ def attrition_rank_order(df: DataFrame, segment: str, where, model_label: str, p
 def month_range(c: str, lo: int, hi: int) -> Column:
     """YYYYMM key within [lo, hi]."""
     return F.col(c).between(lo, hi)
+
+
+def with_all_labels(report: DataFrame, label_col: str, labels: list[str], order_col: str = "Segment_Order",
+                    keys: list[str] | None = None) -> DataFrame:
+    """Every label appears in the report, in fixed order.
+
+    A label missing from the data gets a row with null metrics (the
+    reference's ``pt.loc[order]`` raises instead). ``keys`` identify one
+    report block (e.g. ModelVersion); labels are completed per block by
+    exploding the short literal label list, so no join to a label table is
+    needed to build the grid.
+    """
+    keys = keys or []
+    listed = F.explode(F.array(*[F.struct(F.lit(x).alias(label_col), F.lit(i + 1).alias(order_col))
+                                 for i, x in enumerate(labels)])).alias("_l")
+    base = report.select(*keys).distinct() if keys else report.sparkSession.range(1).select()
+    grid = base.select(*keys, listed).select(*keys, f"_l.{label_col}", f"_l.{order_col}")
+    body = report.drop(order_col) if order_col in report.columns else report
+    return grid.join(body, [*keys, label_col], "left").orderBy(*keys, order_col)

@@ -38,12 +38,15 @@ def save_table(df: DataFrame, name: str, append: bool = False) -> None:
     df.write.mode("append" if append else "overwrite").saveAsTable(name)
 
 
-def export_reports(reports: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """One directory per report under ``root``; returns name -> path."""
+def export_reports(reports: dict[str, DataFrame], root: str,
+                   orders: dict[str, list] | None = None) -> dict[str, str]:
+    """One directory per report under ``root``; returns name -> path.
+    ``orders`` gives the sort keys of a page (G1)."""
+    orders = orders or {}
     paths = {}
     for name, df in reports.items():
         path = f"{root.rstrip('/')}/{name}"
-        write_page(df, path)
+        write_page(df, path, orders.get(name))
         paths[name] = path
     return paths
 

@@ -103,3 +103,16 @@ def test_income_and_tenure(spark):
     out = df.select(scorecard.income_number("i").alias("n"), scorecard.tenure_years("e", "c").alias("t")).collect()
     assert [r.n for r in out] == [15000.0, 12345.0, None]
     assert abs(out[0].t - 366 / 365) < 1e-12 and abs(out[1].t - 365 / 365) < 1e-12 and out[2].t is None
+
+
+def test_coerce_and_label_completion(spark):
+    from pyspark.sql.types import DateType, StructField, StructType
+
+    from scorewatch.operators.rank_order import with_all_labels
+    df = spark.createDataFrame([("2024-01-31", "x"), ("bad", "y")], "d string, other string")
+    out = core.coerce_columns(df, StructType([StructField("d", DateType())])).collect()
+    assert [r.d for r in out] == [dt.date(2024, 1, 31), None] and out[1].other == "y"
+    rep = spark.createDataFrame([("v1", "A", 3), ("v1", "C", 1), ("v2", "B", 2)], "ModelVersion string, RiskGroup string, Count int")
+    full = with_all_labels(rep, "RiskGroup", list("ABCDEF"), keys=["ModelVersion"]).collect()
+    assert len(full) == 12
+    assert [(r.RiskGroup, r.Count) for r in full[:6]] == [("A", 3), ("B", None), ("C", 1), ("D", None), ("E", None), ("F", None)]
