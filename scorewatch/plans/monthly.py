@@ -73,12 +73,16 @@ PAGE_ORDER = {
 }
 
 
+# Customer- or event-level outputs: written in parallel, not as a single page file.
+LARGE_OUTPUTS = frozenset({"resignation_resolution", "repayment_duplicates"})
+
+
 def main(argv) -> None:
     data_dir, out_dir = argv[1], argv[2]
     p = REFERENCE if len(argv) > 3 and argv[3] == "reference" else TESTDATA
     spark = build_session()
     lg = Logical(spark, TableSet(spark, data_dir))
-    for name, path in export_reports(monthly_pages(lg, p), out_dir, PAGE_ORDER).items():
+    for name, path in export_reports(monthly_pages(lg, p), out_dir, PAGE_ORDER, LARGE_OUTPUTS).items():
         print(name, path)
 
 

@@ -39,14 +39,21 @@ def save_table(df: DataFrame, name: str, append: bool = False) -> None:
 
 
 def export_reports(reports: dict[str, DataFrame], root: str,
-                   orders: dict[str, list] | None = None) -> dict[str, str]:
+                   orders: dict[str, list] | None = None, large: set[str] | frozenset = frozenset()) -> dict[str, str]:
     """One directory per report under ``root``; returns name -> path.
-    ``orders`` gives the sort keys of a page (G1)."""
+
+    ``orders`` gives the sort keys of a page (G1). Outputs named in
+    ``large`` (customer- or event-level tables) are written as parquet by
+    all tasks in parallel, never funnelled into one file.
+    """
     orders = orders or {}
     paths = {}
     for name, df in reports.items():
         path = f"{root.rstrip('/')}/{name}"
-        write_page(df, path, orders.get(name))
+        if name in large:
+            write_table(df, path, "parquet")
+        else:
+            write_page(df, path, orders.get(name))
         paths[name] = path
     return paths
 
