@@ -81,19 +81,20 @@ def assign_segment(score: Column, cuts: dict[str, Column]) -> Column:
     return out.otherwise(F.lit("A"))
 
 
-def cuts_as_scalars(cuts: DataFrame) -> dict[str, Column]:
-    """Expose the one-row cut frame as scalar-subquery columns (computed once)."""
-    packed = cuts.select(F.struct(*CUT_NAMES).alias("c")).scalar()
-    return {n: packed[n] for n in CUT_NAMES}
-
-
 def with_derived_segment(df: DataFrame, score: str, segment: str, out: str,
                          edge_score: str | None = None, edge_filter: Column | None = None) -> DataFrame:
     """Label ``score`` with segments whose edges come from ``edge_score``
-    (default: ``score``) grouped by ``segment`` on the rows of ``edge_filter``."""
+    (default: ``score``) grouped by ``segment`` on the rows of ``edge_filter``.
+
+    The one-row cut frame enters the plan once, as a single scalar subquery
+    bound to a struct column, and is evaluated once per query.
+    """
     source = df if edge_filter is None else df.where(edge_filter)
     cuts = derive_cuts(source, edge_score or score, segment)
-    return df.withColumn(out, assign_segment(F.col(score), cuts_as_scalars(cuts)))
+    packed = cuts.select(F.struct(*CUT_NAMES).alias("c")).scalar()
+    with_cuts = df.withColumn("_cuts", packed)
+    edges = {n: F.col("_cuts")[n] for n in CUT_NAMES}
+    return with_cuts.withColumn(out, assign_segment(F.col(score), edges)).drop("_cuts")
 
 
 def cutoff_table(cuts: DataFrame) -> DataFrame:
