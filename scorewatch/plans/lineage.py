@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.core import canonical_id, shift_months
 from ..functions.dates import as_date_text, normalise_date
-from ..operators.keys import duplicate_keys, first_non_null
+from ..operators.keys import duplicate_keys
 from .ordered import chunked_next, chunked_running_sum
 from .params import Params
 
@@ -35,19 +35,19 @@ def employer_loans(features: DataFrame, only_employer: bool = True) -> DataFrame
 def customer_dates(loans: DataFrame, p: Params) -> DataFrame:
     """First non-null HR resignation text and freeze date per customer, normalised.
 
-    The lower bound is the earliest onboarding date of the book (E17),
-    evaluated once as a scalar subquery.
+    One aggregate gives every customer and both first non-null values
+    (E9): a row whose value is null gets a null ordering key, which
+    ``min_by`` skips. The lower bound is the earliest onboarding date of the
+    book (E17), evaluated once as a scalar subquery.
     """
-    customers = loans.select(CID).distinct()
     types = dict((f.name, f.dataType) for f in loans.schema.fields)
-    res_txt = first_non_null(loans.withColumn("_t", as_date_text("ee_resignation_date",
-                                                                  types["ee_resignation_date"])),
-                             [CID], "_t", ["ln_seq"], "resignation_text")
-    frz_txt = first_non_null(loans.withColumn("_t", as_date_text("ee_permanent_freeze_date",
-                                                                  types["ee_permanent_freeze_date"])),
-                             [CID], "_t", ["ln_seq"], "freeze_text")
+    res = as_date_text("ee_resignation_date", types["ee_resignation_date"])
+    frz = as_date_text("ee_permanent_freeze_date", types["ee_permanent_freeze_date"])
+    order = F.col("ln_seq")
+    out = loans.groupBy(CID).agg(
+        F.min_by(res, F.when(res.isNotNull(), order)).alias("resignation_text"),
+        F.min_by(frz, F.when(frz.isNotNull(), order)).alias("freeze_text"))
     lo = loans.agg(F.min(F.to_date("ee_onboarding_date"))).scalar()
-    out = customers.join(res_txt, CID, "left").join(frz_txt, CID, "left")
     r_tag, r_date = normalise_date(F.col("resignation_text"), lo, p.max_valid_date)
     f_tag, f_date = normalise_date(F.col("freeze_text"), lo, p.max_valid_date)
     return out.select(CID, "resignation_text", r_tag.alias("resignation_tag"), r_date.alias("resignation_date"),
