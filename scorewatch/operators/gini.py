@@ -55,15 +55,17 @@ def gini_by_period(stacked: DataFrame, series: list[str], periods, score_buckets
         # lost executor does not replay them.
         rows = stage(rows, "gini-rows")
 
-    per_customer = rows.groupBy(*GROUP, "cid").agg(F.max("target").alias("_good"))
+    bad_score = F.col("score").isNull() | F.isnan("score") | F.col("weight").isNull() | F.isnan("weight")
+    # Per customer, then per period: size, customers with a good outcome,
+    # whether both classes occur, and rows that make the AUC undefined.
+    per_customer = rows.groupBy(*GROUP, "cid").agg(
+        F.max("target").alias("_good"), F.min("target").alias("_low"),
+        F.sum(F.when(bad_score, 1).otherwise(0)).alias("_bad"))
     sizes = per_customer.groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("Sample_Size"),
-        F.sum("_good").alias("_goods"))
-
-    bad_score = F.col("score").isNull() | F.isnan("score") | F.col("weight").isNull() | F.isnan("weight")
-    checks = rows.groupBy(*GROUP).agg(
-        F.count_distinct("target").alias("_classes"),
-        F.sum(F.when(bad_score, 1).otherwise(0)).alias("_bad_rows"))
+        F.sum("_good").alias("_goods"),
+        ((F.max("_good") == 1) & (F.min("_low") == 0)).alias("_two_classes"),
+        F.sum("_bad").alias("_bad_rows"))
 
     valid = rows.where(~bad_score)
     by_score = valid.groupBy(*GROUP, "score").agg(
@@ -81,8 +83,8 @@ def gini_by_period(stacked: DataFrame, series: list[str], periods, score_buckets
                 F.to_date("End_Date").alias("End_Date"))
 
     auc = F.try_divide(F.col("_num"), F.col("_wpos") * F.col("_wneg"))
-    gini_ok = (F.col("_classes") >= 2) & (F.col("_bad_rows") == 0)
-    return (grid.join(sizes, GROUP, "left").join(checks, GROUP, "left").join(auc_parts, GROUP, "left")
+    gini_ok = F.col("_two_classes") & (F.col("_bad_rows") == 0)
+    return (grid.join(sizes, GROUP, "left").join(auc_parts, GROUP, "left")
             .select("series", "Period", "Start_Date", "End_Date",
                     F.coalesce(F.col("Sample_Size"), F.lit(0)).alias("Sample_Size"),
                     F.bround(100 * (1 - F.col("_goods") / F.col("Sample_Size")), 2).alias("Bad_Rate_Pct"),
