@@ -47,7 +47,6 @@ _TTL = "CASE WHEN o_orderkey % 14 = 0 THEN '12+' ELSE CAST(o_orderkey % 14 AS ST
 # Calendar month after the order month, day 15 (score calculation date).
 _CALC_DATE = """make_date(CAST(year(o_orderdate) + CASE WHEN month(o_orderdate) = 12 THEN 1 ELSE 0 END AS INT),
                          CAST(month(o_orderdate) % 12 + 1 AS INT), 15)"""
-_ATTR_V = "((o_orderkey * 13) % 17)"
 
 # Dirty-date string of a loan (resignation date as typed by HR).
 _D = "(CAST(o_orderdate AS DATE) + 400)"
@@ -118,27 +117,31 @@ SELECT CAST(c_custkey AS STRING) AS ee_customer_id,
        GREATEST(c_acctbal - 1500, 0) * 10 AS osbal_as_of_current_date
 FROM {customer}""",
 
+    # One row per (customer, calculation month): the attributes of the
+    # month's first order, taken from its key (min(o_orderkey) is a hash
+    # aggregate; the attributes are functions of the key).
     "backscore_oop_existing": f"""
-SELECT CAST(o_custkey AS STRING) AS ee_customer_id,
-       {_CALC_DATE} AS calc_date,
-       min_by(CAST((o_orderkey * 37) % 1000 AS DOUBLE) / 1000, o_orderkey) AS score_oop
-FROM {{orders}}
-GROUP BY o_custkey, {_CALC_DATE}""",
+SELECT ee_customer_id, calc_date, CAST((k * 37) % 1000 AS DOUBLE) / 1000 AS score_oop
+FROM (SELECT CAST(o_custkey AS STRING) AS ee_customer_id, {_CALC_DATE} AS calc_date, min(o_orderkey) AS k
+      FROM {{orders}}
+      GROUP BY o_custkey, {_CALC_DATE}) t""",
 
     "backscore_attrition": f"""
-SELECT CAST(o_custkey AS STRING) AS ee_customer_id,
-       {_CALC_DATE} AS calc_date,
+SELECT ee_customer_id, calc_date,
        CASE WHEN o_custkey % 31 = 7 THEN NULL
-            ELSE min_by(CASE WHEN {_ATTR_V} >= 15 THEN CAST('Infinity' AS DOUBLE)
-                             ELSE CAST({_ATTR_V} + 1 AS DOUBLE) END, o_orderkey) END AS score_attr,
-       min_by(CASE WHEN {_ATTR_V} >= 15 THEN 'Very low' WHEN {_ATTR_V} < 3 THEN 'Very high'
-                   WHEN {_ATTR_V} < 6 THEN 'High' WHEN {_ATTR_V} < 9 THEN 'Average'
-                   WHEN {_ATTR_V} < 12 THEN 'Low' ELSE 'Very low' END, o_orderkey) AS score_attr_segment,
-       CAST(year({ONB_O}) * 100 + month({ONB_O}) AS INT) AS ee_onboarding_month,
-       CASE WHEN (year(o_orderdate) * 12 + month(o_orderdate)) - (year({ONB_O}) * 12 + month({ONB_O}))
-                 BETWEEN 0 AND 2 THEN 1 ELSE 0 END AS is_new_customer_flag_3m
-FROM {{orders}}
-GROUP BY o_custkey, {_CALC_DATE}, year(o_orderdate), month(o_orderdate)""",
+            WHEN (k * 13) % 17 >= 15 THEN CAST('Infinity' AS DOUBLE)
+            ELSE CAST((k * 13) % 17 + 1 AS DOUBLE) END AS score_attr,
+       CASE WHEN (k * 13) % 17 >= 15 THEN 'Very low' WHEN (k * 13) % 17 < 3 THEN 'Very high'
+            WHEN (k * 13) % 17 < 6 THEN 'High' WHEN (k * 13) % 17 < 9 THEN 'Average'
+            WHEN (k * 13) % 17 < 12 THEN 'Low' ELSE 'Very low' END AS score_attr_segment,
+       ee_onboarding_month, is_new_customer_flag_3m
+FROM (SELECT o_custkey, CAST(o_custkey AS STRING) AS ee_customer_id, {_CALC_DATE} AS calc_date,
+             min(o_orderkey) AS k,
+             CAST(year({ONB_O}) * 100 + month({ONB_O}) AS INT) AS ee_onboarding_month,
+             CASE WHEN (year(o_orderdate) * 12 + month(o_orderdate)) - (year({ONB_O}) * 12 + month({ONB_O}))
+                       BETWEEN 0 AND 2 THEN 1 ELSE 0 END AS is_new_customer_flag_3m
+      FROM {{orders}}
+      GROUP BY o_custkey, {_CALC_DATE}, year(o_orderdate), month(o_orderdate)) t""",
 
     # Loan grain: one row per order.
     "features": f"""
