@@ -97,6 +97,5 @@ def coerce_columns(df, schema):
     """Cast columns to a declared StructType; text that does not parse
     becomes null (try_cast) instead of failing the job. Columns not in the
     schema are kept as they are."""
-    from pyspark.sql import DataFrame  # noqa: F401  (typing only)
     wanted = {f.name: f.dataType for f in schema.fields}
     return df.select(*[F.col(c).try_cast(wanted[c]).alias(c) if c in wanted else F.col(c) for c in df.columns])
