@@ -14,8 +14,11 @@ from pyspark.sql import SparkSession
 
 # Session settings every job relies on (semantics, not tuning).
 _SEMANTIC_CONF = {
-    # All date arithmetic is done on naive calendar dates/timestamps.
+    # All date arithmetic is done on naive calendar dates/timestamps: the
+    # TIMESTAMP type means wall-clock time (as in the source warehouse), so
+    # results do not depend on the session or client time zone.
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.timestampType": "TIMESTAMP_NTZ",
     # ANSI stays on: bad casts fail loudly unless a try_* function is used.
     "spark.sql.ansi.enabled": "true",
 }
