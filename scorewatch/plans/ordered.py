@@ -70,18 +70,19 @@ def chunked_next(df: DataFrame, keys: list[str], chunk: str, order: list,
     last row of a chunk takes the first value of the next chunk of its key.
     """
     inner = Window.partitionBy(*keys, chunk).orderBy(*_cols(order))
-    # "Has a following row" is told apart from "the following value is null"
-    # by a lead over a constant.
+    # One window pass gives the in-chunk lead, whether a following row
+    # exists (told apart from a null next value by a lead over a constant),
+    # and which row opens its chunk.
     local = (df.withColumn("_next_local", F.lead(value).over(inner))
-             .withColumn("_has_next", F.lead(F.lit(1)).over(inner).isNotNull()))
-    firsts = df.groupBy(*keys, chunk).agg(
-        F.min_by(F.col(value), _key(order)).alias("_first_value"))
+             .withColumn("_has_next", F.lead(F.lit(1)).over(inner).isNotNull())
+             .withColumn("_is_first", F.row_number().over(inner) == 1))
+    firsts = local.where("_is_first").select(*keys, chunk, F.col(value).alias("_first_value"))
     across = Window.partitionBy(*keys).orderBy(chunk)
     following = firsts.select(*keys, chunk, F.lead("_first_value").over(across).alias("_next_chunk_first"))
     return (local.join(following, on=[*keys, chunk], how="inner")
             .withColumn(out, F.when(F.col("_has_next"), F.col("_next_local"))
                         .otherwise(F.col("_next_chunk_first")))
-            .drop("_next_local", "_has_next", "_next_chunk_first"))
+            .drop("_next_local", "_has_next", "_is_first", "_next_chunk_first"))
 
 
 def bucketed_exclusive_prefix(df: DataFrame, groups: list[str], order: str, values: list[str],
