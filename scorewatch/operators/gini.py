@@ -106,3 +106,22 @@ def stack_series(parts: list[tuple[str, DataFrame, str, str, str, str | None, st
                           w.alias("weight"))
         out = piece if out is None else out.unionByName(piece)
     return out
+
+
+def explode_series(df: DataFrame, specs, cid: str = "ee_customer_id") -> DataFrame:
+    """Many series from one frame in one pass.
+
+    ``specs``: (series id, date column, score column, target column,
+    weight column or None, keep Column). Each input row yields one row per
+    spec whose ``keep`` holds; the frame is read once for all series.
+    """
+    items = []
+    for sid, date, score, target, weight, keep in specs:
+        w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+        items.append(F.struct(F.lit(sid).alias("series"), F.to_date(F.col(date)).alias("obs_date"),
+                              F.col(score).cast("double").alias("score"),
+                              F.col(target).cast("int").alias("target"), w.alias("weight"),
+                              keep.alias("_keep")))
+    picked = F.filter(F.array(*items), lambda s: s["_keep"])
+    return (df.select(F.col(cid).alias("cid"), F.explode(picked).alias("_s"))
+            .select("_s.series", "cid", "_s.obs_date", "_s.score", "_s.target", "_s.weight"))

@@ -149,3 +149,51 @@ def attr_bs_calc(backscore_attrition: DataFrame, resignation: DataFrame, new_use
     bs = attrition_scores(backscore_attrition).join(resignation_lookup(resignation), CID, "left")
     cond = (F.col("is_new_customer_flag_1m") == 1) if new_users else (F.col("is_new_customer_flag_3m") == 0)
     return with_attrition_targets(bs.where(cond), "calc_date_correct")
+
+
+# ------------------------------------------------------- one pass, many series
+
+def new_user_outcomes(api_base: DataFrame, targets: DataFrame, backscore_new: DataFrame, resignation: DataFrame,
+                      backscore_attrition: DataFrame) -> DataFrame:
+    """One row per new customer (closest run to onboarding) with every
+    outcome and score the new-user series need.
+
+    The repay series drop customers without a matured target before the
+    pick; the target is per customer, so picking first and filtering later
+    selects the same run.
+    """
+    pick = _closest(api_base.where(F.col("ee_onboarding_date").isNotNull()))
+    bs = attrition_scores(backscore_attrition).select(
+        CID, F.col("calc_date_ym").alias("run_date_ym"), "score_attr", "score_attr_segment")
+    j = (pick.join(matured_targets(targets), CID, "left")
+         .join(balances(backscore_new, with_score=True), CID, "left")
+         .join(resignation_lookup(resignation), CID, "left")
+         .join(bs, [CID, "run_date_ym"], "left")
+         .withColumn("osbal_as_of_oop_eligible_date_log", F.log1p("osbal_as_of_oop_eligible_date")))
+    return _with_prod_attrition(with_attrition_targets(j, "run_date"))
+
+
+def existing_user_outcomes(batch_base: DataFrame, targets: DataFrame, backscore_new: DataFrame,
+                           backscore_existing: DataFrame, resignation: DataFrame,
+                           backscore_attrition: DataFrame) -> DataFrame:
+    """One row per existing-user run with every outcome and score the
+    existing-user series need (all lookups are one row per key)."""
+    bse = (_calc_month(backscore_existing.select(canonical_id(CID).alias(CID), "calc_date",
+                                                 F.col("score_oop").cast("double").alias("score_oop")))
+           .select(CID, F.col("calc_date_ym").alias("run_date_ym"), "score_oop"))
+    bs = attrition_scores(backscore_attrition).select(
+        CID, F.col("calc_date_ym").alias("run_date_ym"), "score_attr", "score_attr_segment")
+    j = (batch_base.where(F.col("ee_onboarding_date").isNotNull())
+         .join(matured_targets(targets), CID, "left")
+         .join(balances(backscore_new, with_score=False), CID, "left")
+         .join(bse, [CID, "run_date_ym"], "left")
+         .join(resignation_lookup(resignation), CID, "left")
+         .join(bs, [CID, "run_date_ym"], "left")
+         .withColumn("osbal_as_of_oop_eligible_date_log", F.log1p("osbal_as_of_oop_eligible_date")))
+    return _with_prod_attrition(with_attrition_targets(j, "run_date"))
+
+
+def rescored_attrition_outcomes(backscore_attrition: DataFrame, resignation: DataFrame) -> DataFrame:
+    """Re-scored attrition rows with outcomes (new and existing series)."""
+    bs = attrition_scores(backscore_attrition).join(resignation_lookup(resignation), CID, "left")
+    return with_attrition_targets(bs, "calc_date_correct")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.core import valid_number
-from ..operators.gini import gini_by_period, stack_series
+from ..operators.gini import explode_series, gini_by_period
 from ..operators.rank_order import attrition_rank_order, month_range, repay_rank_order
 from ..operators.segments import cutoff_table, derive_cuts, with_derived_segment
 from . import frames as fr
@@ -108,10 +108,61 @@ class Monitoring:
              "calc_date_correct", "score_attr_corrected", "attrition_event"),
         ]
 
+    # ------------------------------------------------ stacked series, one pass per source
+
+    def _outcome_sources(self):
+        return (self._get("new_out", lambda: fr.new_user_outcomes(
+                    self.api_base, self.t["targets"], self.t["backscore_oop_new"], self.t["resignation"],
+                    self.t["backscore_attrition"])),
+                self._get("ex_out", lambda: fr.existing_user_outcomes(
+                    self.batch_base, self.t["targets"], self.t["backscore_oop_new"],
+                    self.t["backscore_oop_existing"], self.t["resignation"], self.t["backscore_attrition"])),
+                self._get("bs_out", lambda: fr.rescored_attrition_outcomes(
+                    self.t["backscore_attrition"], self.t["resignation"])))
+
+    def stacked_series(self, weights: dict | None = None) -> DataFrame:
+        """All page-2 series as rows (series, cid, obs_date, score, target, weight).
+
+        Each source frame is read once and exploded into its series, instead
+        of one union branch per series re-reading the same tables.
+        ``weights`` (name -> column or None) switches to the repay weight grid.
+        """
+        new, ex, bs = self._outcome_sources()
+        has_t = F.col("oop_target").isNotNull()
+        v2 = valid_number("score_oop")
+        attr_prod = valid_number("attrition_score_prod")
+        attr_bs = valid_number("score_attr_corrected")
+        if weights is None:
+            new_specs = [("oop_v1_new", "ee_onboarding_date", "oop_score_prod", "oop_target", None, has_t),
+                         ("oop_v2_new", "ee_onboarding_date", "score_oop", "oop_target", None, has_t & v2),
+                         ("attr_v1_new", "run_date", "attrition_score_prod", "attrition_event", None, attr_prod)]
+            ex_specs = [("oop_v1_ex", "run_date", "oop_score_prod", "oop_target", None, has_t),
+                        ("oop_v2_ex", "run_date", "score_oop", "oop_target", None, has_t & v2),
+                        ("attr_v1_ex", "run_date", "attrition_score_prod", "attrition_event", None, attr_prod)]
+            bs_specs = [("attr_v2_new", "calc_date_correct", "score_attr_corrected", "attrition_event", None,
+                         attr_bs & (F.col("is_new_customer_flag_1m") == 1)),
+                        ("attr_v2_ex", "calc_date_correct", "score_attr_corrected", "attrition_event", None,
+                         attr_bs & (F.col("is_new_customer_flag_3m") == 0))]
+        else:
+            new_specs, ex_specs, bs_specs = [], [], []
+            for wname, wcol in weights.items():
+                new_specs += [(f"oop_v1_new_{wname}", "ee_onboarding_date", "oop_score_prod", "oop_target", wcol, has_t),
+                              (f"oop_v2_new_{wname}", "ee_onboarding_date", "score_oop", "oop_target", wcol,
+                               has_t & v2)]
+                ex_specs += [(f"oop_v1_ex_{wname}", "run_date", "oop_score_prod", "oop_target", wcol, has_t),
+                             (f"oop_v2_ex_{wname}", "run_date", "score_oop", "oop_target", wcol, has_t & v2)]
+        parts = [explode_series(new, new_specs), explode_series(ex, ex_specs)]
+        if bs_specs:
+            parts.append(explode_series(bs, bs_specs))
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+
     def model_performance(self) -> DataFrame:
         """Gini / C-Index per period for the eight series, plus fixed dev rows."""
         series = self.performance_series()
-        stacked = stack_series([(sid, df, fr.CID, d, s, None, t) for sid, _, _, _, df, d, s, t in series])
+        stacked = self.stacked_series()
         g = gini_by_period(stacked, [s[0] for s in series], self.p.gini_periods)
         spark = stacked.sparkSession
         labels = spark.createDataFrame([(sid, m, v, u) for sid, m, v, u, *_ in series],
@@ -130,13 +181,11 @@ class Monitoring:
         """R2: repay Gini for {v1, v2} x {new, existing} x {unit, balance, log balance}."""
         weights = {"Unweighted": None, "Balance": "osbal_as_of_oop_eligible_date",
                    "LogBalance": "osbal_as_of_oop_eligible_date_log"}
-        parts, labels = [], []
-        for sid, m, v, u, df, d, s, t in self.performance_series()[:4]:
-            for wname, wcol in weights.items():
-                key = f"{sid}_{wname}"
-                parts.append((key, df, fr.CID, d, s, wcol, t))
-                labels.append((key, v, u, wname))
-        stacked = stack_series(parts)
+        labels = []
+        for sid, m, v, u, *_ in self.performance_series()[:4]:
+            for wname in weights:
+                labels.append((f"{sid}_{wname}", v, u, wname))
+        stacked = self.stacked_series(weights)
         g = gini_by_period(stacked, [lab[0] for lab in labels], self.p.gini_periods)
         lab = stacked.sparkSession.createDataFrame(
             labels, "series string, ModelVersion string, UserType string, Weighting string")
