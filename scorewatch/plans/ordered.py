@@ -49,17 +49,22 @@ def chunked_running_sum(df: DataFrame, keys: list[str], chunk: str, order: list,
     Stage 3: join the offset back on (keys, chunk) - both sides are already
              partitioned on those columns.
     """
-    inner = Window.partitionBy(*keys, chunk).orderBy(*_cols(order)) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = df.withColumn("_local_sum", F.sum(value).over(inner))
-    totals = df.groupBy(*keys, chunk).agg(F.sum(value).alias("_chunk_sum"))
+    ordered = Window.partitionBy(*keys, chunk).orderBy(*_cols(order))
+    inner = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*keys, chunk)
+    # One window pass (one exchange, one sort): running sum inside the
+    # chunk, the chunk total, and which row opens the chunk.
+    local = (df.withColumn("_local_sum", F.sum(value).over(inner))
+             .withColumn("_chunk_sum", F.sum(value).over(whole))
+             .withColumn("_is_first", F.row_number().over(ordered) == 1))
+    totals = local.where("_is_first").select(*keys, chunk, "_chunk_sum")
     across = Window.partitionBy(*keys).orderBy(chunk) \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, chunk,
                             F.coalesce(F.sum("_chunk_sum").over(across), F.lit(0.0)).alias("_offset"))
     return (local.join(offsets, on=[*keys, chunk], how="inner")
             .withColumn(out, F.col("_local_sum") + F.col("_offset"))
-            .drop("_local_sum", "_offset"))
+            .drop("_local_sum", "_chunk_sum", "_is_first", "_offset"))
 
 
 def chunked_next(df: DataFrame, keys: list[str], chunk: str, order: list,
