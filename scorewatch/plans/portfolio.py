@@ -81,8 +81,9 @@ def cl_exposure(master: DataFrame, p: Params) -> DataFrame:
     both = old.join(new, CID, "inner").dropna(subset=["old_cl", "new_cl"]).join(old.select(CID), CID, "left_semi")
     delta = both.withColumn("cl_delta", F.col("new_cl") - F.col("old_cl")) \
         .withColumn("CLCategory", change_category("old_cl", "new_cl"))
+    # One row per customer after the picks, so a count is a distinct count.
     agg = delta.groupBy("CLCategory").agg(
-        F.count_distinct(CID).alias("UserCount"),
+        F.count(CID).alias("UserCount"),
         _money(F.sum("old_cl")).alias("SumOldCL"),
         _money(F.sum("new_cl")).alias("SumNewCL"),
         _money(F.sum("cl_delta")).alias("CLDelta"))
@@ -96,7 +97,7 @@ def cohort_exposure(master: DataFrame, cl_summary: DataFrame, p: Params) -> Data
     first = pick_first(master, [CID], ["run_date", "run_key"], ["credit_limit", "onboarding_date"])
     cohort = (first.groupBy(cohort_label("onboarding_date", p.cohort_before, p.cohorts, p.cohort_rest)
                             .alias("OnboardingCohort"))
-              .agg(F.count_distinct(CID).alias("UserCount"), _money(F.sum("credit_limit")).alias("SumNewCL"))
+              .agg(F.count(CID).alias("UserCount"), _money(F.sum("credit_limit")).alias("SumNewCL"))
               .withColumn("TableType", F.lit("CohortCL")))
     mix = (cl_summary.groupBy(user_mix_type("is_new_user", "has_cl_plus").alias("UserType"))
            .agg(F.count_distinct(canonical_id("user_id")).alias("UserCount"))
