@@ -122,7 +122,7 @@ def money_funnel(cohort: DataFrame, profile: DataFrame, resignation: DataFrame,
 def first_success(payment_responses: DataFrame, statuses=("PTOK", "CTOK")) -> DataFrame:
     """First successful payment date per user (the onboarding date)."""
     return (payment_responses.where(F.col("status").isin(list(statuses)))
-            .groupBy(canonical_id("tendopay_user_id").alias(UID))
+            .groupBy(canonical_id("payer_user_id").alias(UID))
             .agg(F.min(F.to_date("created_at")).alias("onboarding_date")))
 
 

@@ -225,7 +225,7 @@ SELECT c_custkey AS user_id, 'segment' AS key, c_mktsegment AS value
 FROM {customer}""",
 
     "payment_responses": """
-SELECT user_id AS tendopay_user_id, ts AS created_at,
+SELECT user_id AS payer_user_id, ts AS created_at,
        CASE event_type WHEN 'purchase' THEN 'PTOK' WHEN 'signup' THEN 'CTOK' ELSE 'FAIL' END AS status
 FROM {events}""",
 
