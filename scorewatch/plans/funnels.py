@@ -140,10 +140,17 @@ def points_scorecard(users: DataFrame, income_info: DataFrame, user_timelines: D
     return scored.select(canonical_id(UID).alias(UID), "score", points_segment("score").alias("risk_segment"))
 
 
-def switch_resignation(repayment_responses: DataFrame, vendors=("TPSD", "TPFP")) -> DataFrame:
-    """Last TPSD -> TPFP switch per user + 1 month, from user-level repayment events (F2)."""
+def switch_resignation(repayment_responses: DataFrame, vendors=("TPSD", "TPFP"),
+                       users: DataFrame | None = None) -> DataFrame:
+    """Last TPSD -> TPFP switch per user + 1 month, from user-level repayment events (F2).
+
+    ``users`` (one ``user_id`` column) restricts the events to the users a
+    report needs before any ordering work (a semi join).
+    """
     r = (repayment_responses.where(F.col("vendor_id").isin(list(vendors)) & F.col("repaid_at").isNotNull())
          .select(canonical_id(UID).alias(UID), "vendor_id", "repaid_at", F.to_date("repaid_at").alias("repaid_day")))
+    if users is not None:
+        r = r.join(users.select(UID), UID, "left_semi")
     nxt = chunked_next(r, [UID], "repaid_day", ["repaid_at", "vendor_id"], "vendor_id", "next_vendor")
     return (nxt.where((F.col("vendor_id") == "TPSD") & (F.col("next_vendor") == "TPFP"))
             .groupBy(UID).agg(F.max(shift_months("repaid_day", 1)).alias("resignation_date")))
@@ -163,7 +170,8 @@ def points_unit_funnel(cohort: DataFrame, repayment_responses: DataFrame, target
     """Per onboarding month: onboarded, left job, matured, bad, bad / matured."""
     tg = targets.where(F.col("target_maturity_flag") == 1).select(canonical_id(UID).alias(UID), "target",
                                                                   "target_maturity_flag")
-    d = cohort.join(switch_resignation(repayment_responses), UID, "left").join(tg, UID, "left")
+    d = (cohort.join(switch_resignation(repayment_responses, users=cohort), UID, "left")
+         .join(tg, UID, "left"))
     left = F.col("resignation_date") <= F.lit(p.points_left_by).cast("date")
     agg = d.groupBy(month_label("onboarding_date").alias("onboarding_month")).agg(
         F.count(UID).alias("cnt_onboarded"),
