@@ -4,10 +4,8 @@ Two kinds of rules judge a text. Base rules count words, symbols, repeated
 lines and words in repeated 5-word windows. The perplexity rule scores every
 text with an interpolated modified Kneser-Ney model of its language over
 character n-grams (order 4) and rejects texts whose perplexity lies outside
-the language's band: between the lower and the upper fence of the log
-perplexities of all its documents that pass the base rules (quartiles widened
-by ``spread`` interquartile ranges, and for short texts by a sampling
-allowance that falls with the root of their length).
+the language's band: between a lower and an upper fence, set by the quartiles
+over all its documents that pass the base rules (see ``bands``).
 
 Counting: each task counts the 4-grams of its texts (packed into 64 bits, 16
 per character), Spark adds the counts up per language and derives
@@ -294,20 +292,32 @@ def quality_column(spark, model: SortedHashModel, lang_col: str = "lang", text_c
     return score(lang_col, text_col)
 
 
-def bands(scores: DataFrame, spread: float = 3.0) -> DataFrame:
-    """(band_lang, low, high) of log10 perplexity per language, over rows that pass the base rules."""
-    q = F.percentile_approx("log10_perplexity", [0.25, 0.5, 0.75], 10_000)
-    iqr = F.col("q")[2] - F.col("q")[0]
-    return (scores.where("NOT base_failed AND log10_perplexity IS NOT NULL").groupBy(F.col("lang").alias("band_lang")).agg(q.alias("q"))
-            .select("band_lang", (F.col("q")[0] - spread * iqr).alias("low"), (F.col("q")[2] + spread * iqr).alias("high")))
+def bands(scores: DataFrame, spread: float = 3.0, settled: int = 10_000) -> DataFrame:
+    """(band_lang, middle, below, above) per language, over rows that pass the base rules.
 
-
-def with_verdict(scores: DataFrame, limits: DataFrame, allowance: float = 1.5) -> DataFrame:
-    """Add low, high (null without a band) and ``kept``. ``allowance`` / sqrt(length) widens the band for short texts."""
-    slack = F.lit(allowance) / F.sqrt(F.greatest("n_symbols_scored", F.lit(1)))
-    inside = (F.col("log10_perplexity") >= F.col("low") - slack) & (F.col("log10_perplexity") <= F.col("high") + slack)
-    return (scores.join(limits, F.col("lang").eqNullSafe(F.col("band_lang")), "left").drop("band_lang")
-            .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))))
+    A text's log perplexity is a mean over its n symbols, so its distance from
+    the language's median is measured in units of sqrt(1/n + 1/settled): it
+    scatters less the longer the text, up to ``settled`` symbols. The fences
+    lie ``spread`` interquartile ranges outside the quartiles of that distance.
+    """
+    good = scores.where("NOT base_failed AND log10_perplexity IS NOT NULL")
+    middle = good.groupBy(F.col("lang").alias("_ml")).agg(F.percentile_approx("log10_perplexity", 0.5, 10_000).alias("middle"))
+    unit = F.sqrt(1 / F.col("n_symbols_scored") + 1 / F.lit(settled))
+    q = (good.join(middle, F.col("lang").eqNullSafe(F.col("_ml")))
+         .groupBy(F.col("lang").alias("band_lang"), "middle")
+         .agg(F.percentile_approx((F.col("log10_perplexity") - F.col("middle")) / unit, [0.25, 0.75], 10_000).alias("q")))
+    iqr = F.col("q")[1] - F.col("q")[0]
+    return q.select("band_lang", "middle", (F.col("q")[0] - spread * iqr).alias("below"), (F.col("q")[1] + spread * iqr).alias("above"))
+
+
+def with_verdict(scores: DataFrame, limits: DataFrame, settled: int = 10_000) -> DataFrame:
+    """Add the band at the row's length (low, high; null without one) and ``kept``."""
+    unit = F.sqrt(1 / F.greatest("n_symbols_scored", F.lit(1)) + 1 / F.lit(settled))
+    banded = (scores.join(limits, F.col("lang").eqNullSafe(F.col("band_lang")), "left")
+              .withColumns({"low": F.col("middle") + F.col("below") * unit, "high": F.col("middle") + F.col("above") * unit})
+              .drop("band_lang", "middle", "below", "above"))
+    inside = F.col("log10_perplexity").between(F.col("low"), F.col("high"))
+    return banded.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
 
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
