@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 from ..session import ensure_checkpoint_dir
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", compression: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/scorewatch-{name}-{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").option("compression", compression).parquet(path)
     return spark.read.parquet(path)
