@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
-from .common import arrow_schema, mix64, slices, table, text_bytes
+from .common import arrow_schema, mix64, slices, table, text_bytes, word_hashes
 from .graph import components
 
 GROUPS = 64                 # coordinates of a point
@@ -55,29 +55,11 @@ BITMAP_BITS = 26            # of the broadcast bitmap that thins out documents b
 SLICE_BYTES = 1_500_000
 
 _U = np.uint64
-_BREAK = np.zeros(256, bool)
-_BREAK[[9, 10, 11, 12, 13, 32]] = True
-_BYTE = mix64(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
 _BASE = _U(0xD1342543DE82EF95)
 
 
 # ---- sets ---------------------------------------------------------------------------------------------------------
 
-def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash and start of every word (polynomial over its bytes, then mixed)."""
-    a = np.frombuffer(raw, np.uint8)
-    inside = ~_BREAK[a]
-    starts = np.flatnonzero(inside & ~np.concatenate(([False], inside[:-1])))
-    if not starts.size:
-        return np.zeros(0, _U), starts
-    at = np.flatnonzero(inside)
-    first = np.searchsorted(at, starts)
-    lengths = np.diff(np.append(first, len(at)))
-    place = np.arange(len(at)) - np.repeat(first, lengths)
-    powers = np.cumprod(np.concatenate((np.ones(1, _U), np.full(int(lengths.max()) - 1, _BASE))))
-    return mix64(np.add.reduceat(_BYTE[a[at]] * powers[place], first) + lengths.astype(_U)), starts
-
-
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text (A-Z lower-cased)."""
     h, starts = word_hashes(b"\n".join(texts).lower())
@@ -412,7 +394,7 @@ OP2_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                     '[^\x20\x09-\x0D]+') AS ws FROM documents),
-s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), i -> ws[i] || ' ' || ws[i+1] || ' ' || ws[i+2])
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i+1] || ' ' || ws[i+2])
                                         WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w),
 n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n FROM s),
 e AS (SELECT doc_id, unnest(sh) AS x FROM s),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .hmm import op4_hmm_scores
 from .jaccard import OP2_SQL, op2_count_tree_join
 from .packing import op8_best_fit_packing
 from .pieces import op9_piece_codec
@@ -12,6 +13,6 @@ from .toxicity import op3_nb_toxicity
 from .urls import op5_link_trust
 from .warc import OP6_SQL, op6_merkle_fixity
 
-QUERIES = {f.__name__: f for f in (op1_perplexity_rules, op2_count_tree_join, op3_nb_toxicity, op5_link_trust, op6_merkle_fixity, op7_feistel_sharding, op8_best_fit_packing,
+QUERIES = {f.__name__: f for f in (op1_perplexity_rules, op2_count_tree_join, op3_nb_toxicity, op4_hmm_scores, op5_link_trust, op6_merkle_fixity, op7_feistel_sharding, op8_best_fit_packing,
                                    op9_piece_codec, op10_closed_syncmers)}
 ORACLE_SQL: dict[str, str] = {op2_count_tree_join.__name__: OP2_SQL, op6_merkle_fixity.__name__: OP6_SQL}

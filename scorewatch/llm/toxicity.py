@@ -6,8 +6,7 @@ labelled rows the smoothed log ratio r of a feature's document frequency in
 toxic and other texts is counted in Spark; the features whose ratio stands
 out most from its sampling error are kept, and a logistic regression is
 fitted on them with values r instead of 1, so the linear weights start from
-the naive Bayes evidence. Both classes are weighted back to their share of
-all labelled rows.
+the naive Bayes evidence. Both classes weigh the same in the fit.
 
 The classifier is fitted on a bounded sample, the documented parameter
 ``sample_per_class`` (the labelled rows with the smallest id hash per
@@ -37,8 +36,8 @@ from .common import id_remainder, table
 
 ORDERS = (3, 4, 5)
 HASH_BITS = 20
-SAMPLE_PER_CLASS = 8_000
-MAX_FEATURES = 1 << 16
+SAMPLE_PER_CLASS = 4_000
+MAX_FEATURES = 1 << 12
 
 #: ASCII code -> blank where it is no letter or digit.
 _FOLD = np.array([c if chr(c).isalnum() else 32 for c in range(128)], np.uint32)
@@ -132,7 +131,7 @@ def fit_logistic(rows: list[np.ndarray], y: np.ndarray, sample_weight: np.ndarra
 
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", sample_per_class: int = SAMPLE_PER_CLASS, max_features: int = MAX_FEATURES,
-          smoothing: float = 1.0, l2: float = 1e-5) -> NaiveBayesLinear:
+          smoothing: float = 1.0, l2: float = 1e-3) -> NaiveBayesLinear:
     """Fit the classifier on a bounded sample of ``labels`` (id, 0/1) joined with their texts."""
     given = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
              .groupBy(F.col(id_col).alias("_id")).agg((F.max(F.col(label_col).cast("int")) > 0).cast("int").alias("_y")))
@@ -173,7 +172,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     def positions(text: pa.Array) -> pa.Array:
         return pa.array([np.sort(held.value.positions(t or "")).astype("<i4").tobytes() for t in text.to_pylist()], pa.binary())
 
-    weight = {y: share[y] / max(1, n.get(y, 0)) for y in share}
+    weight = {y: 1 / count for y, count in n.items()}
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted(r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
