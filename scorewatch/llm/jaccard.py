@@ -6,13 +6,19 @@ class from the start, so copies cost one row each and nothing more.
 
 Routing (exact). Two sets that link differ in at most d = hi*(den-num)/num
 elements, where hi bounds the smaller set's size. Elements are hashed into
-d + 1 groups, so at least one group has equal content in both sets. Sizes
-fall into levels with their own group count; a set gives one key (level,
-group, content) per group, also for the level below if a partner there can
-be large enough. Classes that share a key form a bucket; buckets with the
-same classes are kept once. No pair that links is missed, and a passage that
-many documents share fills no bucket, because a group holds hashed elements
-from all over a text.
+m > d groups, so at least m - d groups have equal content in both sets. Sizes
+fall into levels with their own m; a set gives a key (level, group, content)
+for each group that is not empty, also for the level below if a partner there
+can be large enough. Only where m - d or more of its groups are empty could
+all equal groups of a pair be empty ones; such a set also gives the keys of
+prefix filtering (its first n - need(n) + 1 elements in one fixed order), which
+two linked sets share. Classes that share a key form a bucket; buckets with
+the same classes are kept once. No pair that links is missed.
+
+Elements that a bounded sample of classes shows to be frequent (a passage in
+many documents) count as absent in group contents and come last in the prefix
+order. Any such list leaves the guarantee as it is; it keeps unrelated
+documents out of common buckets.
 
 Index. In a bucket each class is a point: the counts of its elements in
 GROUPS hash groups. The overlap of two sets is at most the sum of the
@@ -42,7 +48,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
@@ -88,62 +94,116 @@ def signature(elements: np.ndarray) -> int:
     return int(mix64(sums[:1] + sums[1:] * _BASE).view(np.int64)[0])
 
 
-class Levels:
-    """Size levels, and per level the groups that make the routing exact."""
+class Routing:
+    """Keys of a set, by which every pair that links meets in at least one bucket."""
 
-    def __init__(self, num: int, den: int):
-        self.num, self.den = num, den
-        self.low = [1]
+    def __init__(self, num: int, den: int, frequent: np.ndarray):
+        self.num, self.den, self.frequent = num, den, frequent
+        self.low = [1]                                          # least size of each level
 
-    def of(self, n: int) -> list[int]:
-        """The set's own level and every lower one that a partner of fewer elements can be in."""
-        while self.low[-1] <= n:
+    def _reach(self, size: int, level: int) -> None:
+        while self.low[-1] <= size or len(self.low) < level + 2:
             self.low.append(max(self.low[-1] + 1, self.low[-1] * 3 // 2))
+
+    def levels(self, n: int) -> list[int]:
+        """The set's own level and every lower one that a partner of fewer elements can be in."""
+        self._reach(n, 0)
         own = int(np.searchsorted(self.low, n, side="right")) - 1
         least = -(-self.num * n // self.den)
         return [k for k in range(own, -1, -1) if k == own or self.low[k + 1] - 1 >= least]
 
-    def groups(self, level: int) -> int:
-        while len(self.low) <= level + 1:
-            self.low.append(max(self.low[-1] + 1, self.low[-1] * 3 // 2))
-        return (self.low[level + 1] - 1) * (self.den - self.num) // self.num + 1
+    def groups(self, level: int) -> tuple[int, int]:
+        """Groups m of a level, and how many of them are equal in two sets that link at least."""
+        self._reach(0, level)
+        high = self.low[level + 1] - 1
+        differ = high * (self.den - self.num) // self.num
+        m = differ + 1
+        for _ in range(4):                                      # room for the share of groups that are empty by chance
+            m = -(-(differ + 1) // max(0.25, 1 - 1.6 * float(np.exp(-self.low[level] / m))))
+        return int(m), int(m) - differ
 
     def keys(self, elements: np.ndarray) -> np.ndarray:
-        """One key per group and level of a sorted set (groups are ranges of the hash)."""
-        if not len(elements):
+        """Keys of a sorted set (groups are ranges of the hash)."""
+        n = len(elements)
+        if not n:
             return np.zeros(0, np.int64)
-        total = np.concatenate((np.zeros(1, _U), np.cumsum(mix64(elements ^ _BASE))))
+        common = np.zeros(n, bool)
+        if len(self.frequent):
+            common = self.frequent[np.minimum(np.searchsorted(self.frequent, elements), len(self.frequent) - 1)] == elements
+        rare = elements[~common]
+        total = np.concatenate((np.zeros(1, _U), np.cumsum(mix64(rare ^ _BASE))))
         out = []
-        for level in self.of(len(elements)):
-            m = self.groups(level)
-            group = ((elements >> _U(32)) * _U(m)) >> _U(32)
-            edge = np.searchsorted(group, np.arange(m + 1, dtype=_U))
-            content = total[edge[1:]] - total[edge[:-1]]
-            out.append(mix64(content + mix64(np.arange(m, dtype=_U) + _U((level + 1) << 40))))
+        for level in self.levels(n):
+            m, equal = self.groups(level)
+            edge = np.searchsorted(((rare >> _U(32)) * _U(m)) >> _U(32), np.arange(m + 1, dtype=_U))
+            held = np.flatnonzero(edge[1:] > edge[:-1])
+            content = total[edge[held + 1]] - total[edge[held]]
+            out.append(mix64(content + mix64(held.astype(_U) + _U((level + 1) << 40))))
+            if m - len(held) >= equal:
+                first = np.concatenate((rare, elements[common]))[:n - -(-self.num * n // self.den) + 1]
+                out.append(mix64(first + mix64(np.array([(level + 1) << 40], _U) - _U(1))))
         return np.concatenate(out).view(np.int64)
 
 
-SETS = "doc_id long, n long, sig long"
+SETS = "doc_id long, n long, sig long, point binary"
 
 
-def sets_table(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n, sig, keys, point) of every row; ``sig`` stands for the set."""
-    fields = arrow_schema(SETS)
-    schema = pa.schema([*fields, ("keys", pa.list_(pa.int64())), ("point", pa.binary())])
+def sets_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(doc_id, n, sig, point) of every row; ``sig`` stands for the set."""
+    schema = arrow_schema(SETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = Levels(num, den)
         for batch in batches:
             ids, raw = batch.column(0).to_pylist(), text_bytes(batch.column(1))
             for a, b in slices([len(t) for t in raw], SLICE_BYTES):
                 sets = shingle_sets(raw[a:b], width)
-                sig = [signature(s) for s in sets]
                 points = [np.bincount((s & _U(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes() for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[a:b], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(sig, pa.int64()),
-                     pa.array([levels.keys(s) for s in sets], pa.list_(pa.int64())), pa.array(points, pa.binary())], schema=schema)
+                    [pa.array(ids[a:b], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([signature(s) for s in sets], pa.int64()), pa.array(points, pa.binary())], schema=schema)
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(run, SETS)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(run, SETS + ", keys array<long>, point binary")
+
+def frequent_elements(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int,
+                      sample: int = 4_000, least: int = 8) -> np.ndarray:
+    """Sorted elements that ``least`` or more of ``sample`` classes hold (at most 2**18, the most frequent ones)."""
+    picked = classes.orderBy(F.xxhash64("sig"), "sig").limit(sample).select(F.col("doc_id").alias("_id"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = text_bytes(batch.column(0))
+            for a, b in slices([len(t) for t in raw], SLICE_BYTES):
+                found, n = np.unique(np.concatenate([np.zeros(0, _U), *shingle_sets(raw[a:b], width)]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["element", "n"])
+
+    top = (docs.join(F.broadcast(picked), F.col(id_col).cast("long") == F.col("_id")).select(text_col)
+           .mapInArrow(run, "element long, n long").groupBy("element").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+           .orderBy(F.desc("n"), "element").limit(1 << 18).toArrow())
+    return np.sort(top.column("element").to_numpy().view(np.uint64))
+
+
+def key_rows(docs: DataFrame, text_col: str, width: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
+    """(key, sig) of every text; a task gives equal sets once."""
+    held = docs.sparkSession.sparkContext.broadcast(frequent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        routing, seen = Routing(num, den, held.value), set()
+        for batch in batches:
+            raw = text_bytes(batch.column(0))
+            for a, b in slices([len(t) for t in raw], SLICE_BYTES):
+                keys, sigs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                if len(seen) > 200_000:
+                    seen.clear()
+                for elements in shingle_sets(raw[a:b], width):
+                    sig = signature(elements)
+                    if sig not in seen:
+                        seen.add(sig)
+                        keys.append(routing.keys(elements))
+                        sigs.append(np.full(len(keys[-1]), sig))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(sigs))], ["key", "sig"])
+
+    return docs.where(F.col(text_col).isNotNull()).select(text_col).mapInArrow(run, "key long, sig long")
 
 
 # ---- the index ----------------------------------------------------------------------------------------------------
@@ -224,15 +284,18 @@ def by_group(rows: DataFrame, keys: list[str], step, schema: str) -> DataFrame:
 
 # ---- candidates ---------------------------------------------------------------------------------------------------
 
-def bucket_members(classes: DataFrame) -> DataFrame:
-    """(bucket, size, sig, n, point) of every bucket of two classes or more, same buckets once."""
-    keyed = classes.select("sig", F.explode("keys").alias("key"))
-    shared = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("sig").alias("a"), F.max("sig").alias("b"),
-                                       F.bit_xor("sig").alias("x")).where("size > 1"))
-    kept = stage(shared.groupBy("size", "a", "b", "x").agg(F.min("key").alias("bucket")).select("bucket", "size"), "join-buckets")
-    members = keyed.join(kept, keyed["key"] == kept["bucket"]).select("bucket", "size", F.col("sig").alias("_s"))
-    points = classes.select("sig", "n", "point")
-    return stage(members.join(points, F.col("_s") == F.col("sig")).drop("_s"), "join-members")
+def bucket_members(keys: DataFrame, classes: DataFrame) -> DataFrame:
+    """(bucket, size, sig, n, point) of every bucket of two classes or more, same buckets once.
+
+    The keys are shuffled once; what stays after the filter is small.
+    """
+    of_key = Window.partitionBy("key")
+    shared = stage(keys.withColumns({"_a": F.min("sig").over(of_key), "_b": F.max("sig").over(of_key)})
+                   .where("_a != _b").select("key", "sig").distinct(), "join-shared")
+    marks = shared.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("sig").alias("a"), F.max("sig").alias("b"), F.bit_xor("sig").alias("x"))
+    kept = stage(marks.groupBy("size", "a", "b", "x").agg(F.min("key").alias("bucket")).select("bucket", "size"), "join-buckets")
+    members = shared.join(kept, F.col("key") == F.col("bucket")).select("bucket", "size", F.col("sig").alias("_s"))
+    return stage(members.join(classes.select("sig", "n", "point"), F.col("_s") == F.col("sig")).drop("_s"), "join-members")
 
 
 def centre_pairs(members: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
@@ -296,22 +359,25 @@ def tree_pairs(members: DataFrame, centres: DataFrame, labels: DataFrame, num: i
 
 # ---- verification -------------------------------------------------------------------------------------------------
 
-def _thinned(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """Rows of ``docs`` whose id may be in ``ids`` (a bitmap of fixed size; false hits go in the join that follows)."""
-    bit = F.col("id_hash").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
-    words = (ids.select(F.xxhash64(F.col("id").cast("long")).alias("id_hash"))
-             .select(F.shiftright(bit, 5).alias("word"), F.expr("shiftleft(1L, cast(id_hash & 31 as int))").alias("mask"))
+def id_bitmap(ids: DataFrame, id_col: str):
+    """Boolean column function of an id column: false only where the id is not in ``ids``.
+
+    A bitmap of fixed size (BITMAP_BITS) over hashed ids is broadcast; what it
+    lets through by chance goes in the join that follows it.
+    """
+    bit = F.xxhash64(F.col(id_col).cast("long")).bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    words = (ids.select(bit.alias("bit")).select(F.shiftright("bit", 5).alias("word"), F.expr("shiftleft(1L, cast(bit & 31 as int))").alias("mask"))
              .groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow())
     bitmap = np.zeros(1 << (BITMAP_BITS - 5), np.uint32)
     bitmap[words.column("word").to_numpy()] = words.column("mask").to_numpy().astype(np.uint32)
-    held = docs.sparkSession.sparkContext.broadcast(bitmap)
+    held = ids.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.arrow_udf("boolean")
     def may_hold(h: pa.Array) -> pa.Array:
         at = h.to_numpy(zero_copy_only=False) & ((1 << BITMAP_BITS) - 1)
         return pa.array(((held.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1).astype(bool))
 
-    return docs.where(may_hold(F.xxhash64(F.col(id_col).cast("long"))))
+    return lambda column: may_hold(F.xxhash64(column.cast("long")))
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
@@ -319,7 +385,8 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     pairs = stage(pairs, "join-pairs")
     sigs = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
     named = stage(sigs.join(classes.select(F.col("sig").alias("_s"), F.col("doc_id").alias("id")), F.col("sig") == F.col("_s")).drop("_s"), "join-ids")
-    few = _thinned(docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")), named, "_id")
+    whole = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    few = whole.where(id_bitmap(named, "id")(F.col("_id")))
     texts = few.join(named, F.col("_id") == F.col("id")).select("sig", F.col("_text").alias("text"))
     # An id may stand for rows of several classes: keep the text of the class itself.
     own = stage(_of_class(texts, width).dropDuplicates(["sig"]), "join-texts")
@@ -352,11 +419,13 @@ def _of_class(texts: DataFrame, width: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) for every row; links: Jaccard >= num/den."""
-    sets = stage(sets_table(docs, id_col, text_col, width, num, den), "join-sets")
+    sets = stage(sets_table(docs, id_col, text_col, width), "join-sets", compression="zstd")
     usable = sets.where("n > 0 AND doc_id IS NOT NULL")
-    first = usable.groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
-    classes = stage(usable.join(first, ["sig", "doc_id"]).dropDuplicates(["sig"]), "join-classes")
-    members = bucket_members(classes)
+    classes = stage(usable.groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("point").alias("point")),
+                    "join-classes", compression="zstd")
+    named_docs = docs.where(F.col(id_col).isNotNull())
+    frequent = frequent_elements(named_docs, classes, id_col, text_col, width)
+    members = bucket_members(key_rows(named_docs, text_col, width, num, den, frequent), classes)
     centres, tried = centre_pairs(members, num, den)
     near = verified(tried, classes, docs, id_col, text_col, width, num, den)
     more = verified(tree_pairs(members, centres, components(near, "a", "b"), num, den), classes, docs, id_col, text_col, width, num, den)
@@ -377,9 +446,10 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 90, den: int = 1
 
 def keep_one(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component, the one with the smallest id (rows with a null id stay)."""
-    found = near_duplicates(docs, width, num, den, id_col, text_col)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    found = stage(near_duplicates(docs, width, num, den, id_col, text_col), "join-found")
+    gone = stage(found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct(), "join-gone")
+    may_go = F.coalesce(id_bitmap(gone, "_gone")(F.col(id_col)), F.lit(False))     # only these rows are shuffled
+    left = docs.where(~may_go).union(docs.where(may_go).join(gone, F.col(id_col) == F.col("_gone"), "left_anti"))
     again = stage(found.where("n_shingles > 0").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1"), "join-again")
     if again.isEmpty():
         return left
