@@ -23,12 +23,6 @@ def canonical_id(c) -> Column:
     return F.when(s.isin(MISSING_TOKENS), F.lit(None).cast("string")).otherwise(s)
 
 
-def nan_to_null(c) -> Column:
-    """NaN is a value in Spark but 'missing' in pandas."""
-    c = col(c)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
-
 def month_key(c) -> Column:
     """B1: integer YYYYMM; null for a null date."""
     c = col(c)
@@ -99,3 +93,16 @@ def coerce_columns(df, schema):
     schema are kept as they are."""
     wanted = {f.name: f.dataType for f in schema.fields}
     return df.select(*[F.col(c).try_cast(wanted[c]).alias(c) if c in wanted else F.col(c) for c in df.columns])
+
+
+def count_below(values: Column, x: Column, size: int) -> Column:
+    """How many of the (ascending) array's values lie below ``x``, by binary search; at most ``size`` values."""
+    start = F.struct(F.lit(0).alias("lo"), F.size(values).alias("hi"))
+
+    def halve(at: Column, _) -> Column:
+        mid = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        right = (at["lo"] < at["hi"]) & (F.get(values, mid) < x)
+        return F.struct(F.when(right, mid + 1).otherwise(at["lo"]).alias("lo"),
+                        F.when(right, at["hi"]).otherwise(F.least(mid, at["hi"])).alias("hi"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, size.bit_length()))), start, halve, lambda at: at["lo"])

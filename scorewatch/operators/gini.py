@@ -1,10 +1,11 @@
-"""Gini per period (E8, E7), for many score series at once.
+"""Gini per period (E8, E7), for many score series and weightings at once.
 
 Input is a *stacked* frame, one row per observation::
 
-    series (string), cid, obs_date, score (double), target (0/1), weight (double)
+    series (string), cid, obs_date, score (double), target (0/1), and weight columns
 
-so every model, user type and weighting variant is computed in one job.
+so every model and user type is computed in one job; weighting variants are
+columns of the same rows.
 
 Rules (reference parity):
 
@@ -18,11 +19,11 @@ Rules (reference parity):
   ``Gini = round(2 * AUC - 1, 4)``; one class only, or any null score or
   weight in the period, gives a null Gini.
 
-Plan: one pass assigns periods (explode against a literal list), then two
-aggregates (per customer, per distinct score) that combine map-side, and an
-exact prefix sum over distinct scores that is split into equal-frequency
-score buckets, so a period with millions of distinct scores is not sorted
-in one task.
+Plan: one pass over the sources assigns periods and aggregates to two
+levels, per customer and per distinct score (grouping sets, combined
+map-side); this result is staged. A prefix sum over distinct scores that is
+split into equal-frequency score buckets gives the AUC, so a period with
+very many distinct scores is not sorted in one task.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.core import valid_number
 from ..plans.ordered import bucketed_exclusive_prefix
 from ..plans.staging import stage
 from .periods import assign_periods
@@ -37,91 +39,69 @@ from .periods import assign_periods
 GROUP = ["series", "Period"]
 
 
-def gini_by_period(stacked: DataFrame, series: list[str], periods, score_buckets: int = 64,
-                   materialize: bool = True) -> DataFrame:
-    """Return series, Period, Start_Date, End_Date, Sample_Size, Bad_Rate_Pct, Gini.
+def gini_by_period(stacked: DataFrame, series: list[str], periods, weights: dict[str, str] | None = None,
+                   rows_per_bucket: int = 100_000) -> DataFrame:
+    """Return series, Period, Start_Date, End_Date, Sample_Size, Bad_Rate_Pct, Weighting, Gini.
 
-    ``materialize`` stages the period-assigned rows as a table under the
-    checkpoint directory (``spark.checkpoint.dir``) before they are aggregated.
-
-    ``series`` lists every series id expected in the output (a period with
-    no rows still yields a row); ``periods`` is [(name, start, end)].
+    ``series`` lists every series id expected in the output (a period with no
+    rows still yields a row); ``periods`` is [(name, start, end)]; ``weights``
+    maps a weighting's name to its column in ``stacked`` (default: unit weights).
     """
     spark = stacked.sparkSession
+    names = list(weights or {"Unweighted": None})
+    w = [F.lit(1.0) if c is None else F.col(c).cast("double") for c in (weights or {"Unweighted": None}).values()]
     rows = assign_periods(stacked.where(F.col("target").isNotNull()), "obs_date", periods)
-    if materialize:
-        # The rows feed three aggregates and the score sketch; stage them once
-        # under the checkpoint directory so the upstream joins run once and a
-        # lost executor does not replay them.
-        rows = stage(rows, "gini-rows")
-
-    bad_score = F.col("score").isNull() | F.isnan("score") | F.col("weight").isNull() | F.isnan("weight")
-    # Per customer, then per period: size, customers with a good outcome,
-    # whether both classes occur, and rows that make the AUC undefined.
-    per_customer = rows.groupBy(*GROUP, "cid").agg(
-        F.max("target").alias("_good"), F.min("target").alias("_low"),
-        F.sum(F.when(bad_score, 1).otherwise(0)).alias("_bad"))
-    sizes = per_customer.groupBy(*GROUP).agg(
-        F.count(F.lit(1)).alias("Sample_Size"),
-        F.sum("_good").alias("_goods"),
-        ((F.max("_good") == 1) & (F.min("_low") == 0)).alias("_two_classes"),
-        F.sum("_bad").alias("_bad_rows"))
-
-    valid = rows.where(~bad_score)
-    by_score = valid.groupBy(*GROUP, "score").agg(
-        F.sum(F.col("weight") * F.col("target")).alias("wpos"),
-        F.sum(F.col("weight") * (1 - F.col("target"))).alias("wneg"))
-    prefixed = bucketed_exclusive_prefix(by_score, GROUP, "score", ["wneg"], buckets=score_buckets)
-    auc_parts = prefixed.groupBy(*GROUP).agg(
-        F.sum(F.col("wpos") * (F.col("wneg_before") + F.col("wneg") / 2)).alias("_num"),
-        F.sum("wpos").alias("_wpos"),
-        F.sum("wneg").alias("_wneg"))
+    bad = [~valid_number("score") | ~valid_number(x) for x in w]
+
+    aggs = [F.max("target").alias("good"), F.min("target").alias("low")]
+    for i, (x, b) in enumerate(zip(w, bad, strict=True)):
+        aggs += [F.sum(F.when(b, 1).otherwise(0)).alias(f"bad{i}"),
+                 F.sum(F.when(~b, x * F.col("target"))).alias(f"pos{i}"),
+                 F.sum(F.when(~b, x * (1 - F.col("target")))).alias(f"neg{i}")]
+    levels = stage(rows.groupingSets([[*GROUP, "cid"], [*GROUP, "score"]], *GROUP, "cid", "score")
+                   .agg(F.grouping("cid").alias("_by_score"), *aggs), "gini-levels")
+
+    sizes = levels.where("_by_score = 0").groupBy(*GROUP).agg(
+        F.count(F.lit(1)).alias("Sample_Size"), F.sum("good").alias("_goods"),
+        ((F.max("good") == 1) & (F.min("low") == 0)).alias("_two_classes"),
+        *[F.sum(f"bad{i}").alias(f"_bad{i}") for i in range(len(w))])
+    by_score = levels.where(F.col("_by_score") == 1).where(valid_number("score")).select(
+        *GROUP, "score", *[F.coalesce(f"{k}{i}", F.lit(0.0)).alias(f"{k}{i}") for i in range(len(w)) for k in ("pos", "neg")])
+    prefixed = bucketed_exclusive_prefix(by_score, GROUP, "score", [f"neg{i}" for i in range(len(w))], rows_per_bucket)
+    auc = prefixed.groupBy(*GROUP).agg(*[a for i in range(len(w)) for a in (
+        F.sum(F.col(f"pos{i}") * (F.col(f"neg{i}_before") + F.col(f"neg{i}") / 2)).alias(f"_num{i}"),
+        (F.sum(f"pos{i}") * F.sum(f"neg{i}")).alias(f"_den{i}"))])
 
     grid = spark.createDataFrame([(s, n, st, en) for s in series for (n, st, en) in periods],
                                  "series string, Period string, Start_Date string, End_Date string") \
         .select("series", "Period", F.to_date("Start_Date").alias("Start_Date"),
                 F.to_date("End_Date").alias("End_Date"))
 
-    auc = F.try_divide(F.col("_num"), F.col("_wpos") * F.col("_wneg"))
-    gini_ok = F.col("_two_classes") & (F.col("_bad_rows") == 0)
-    return (grid.join(sizes, GROUP, "left").join(auc_parts, GROUP, "left")
+    def gini(i):
+        ok = F.col("_two_classes") & (F.col(f"_bad{i}") == 0)
+        return F.when(ok, F.bround(2 * F.try_divide(f"_num{i}", f"_den{i}") - 1, 4))
+
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("Weighting"), gini(i).alias("Gini")) for i, n in enumerate(names)]))
+    return (grid.join(sizes, GROUP, "left").join(auc, GROUP, "left")
             .select("series", "Period", "Start_Date", "End_Date",
                     F.coalesce(F.col("Sample_Size"), F.lit(0)).alias("Sample_Size"),
                     F.bround(100 * (1 - F.col("_goods") / F.col("Sample_Size")), 2).alias("Bad_Rate_Pct"),
-                    F.when(gini_ok, F.bround(2 * auc - 1, 4)).alias("Gini")))
+                    each.alias("_e"))
+            .select("*", "_e.Weighting", "_e.Gini").drop("_e"))
 
 
-def stack_series(parts: list[tuple[str, DataFrame, str, str, str, str | None, str]]) -> DataFrame:
-    """Build the stacked input from (series, frame, cid, date, score, weight, target) tuples.
-
-    ``weight`` may be None for unit weights. Scores are cast to double.
-    """
-    out = None
-    for sid, df, cid, date, score, weight, target in parts:
-        w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
-        piece = df.select(F.lit(sid).alias("series"), F.col(cid).alias("cid"),
-                          F.to_date(F.col(date)).alias("obs_date"),
-                          F.col(score).cast("double").alias("score"),
-                          F.col(target).cast("int").alias("target"),
-                          w.alias("weight"))
-        out = piece if out is None else out.unionByName(piece)
-    return out
-
-
-def explode_series(df: DataFrame, specs, cid: str = "ee_customer_id") -> DataFrame:
+def explode_series(df: DataFrame, specs, cid: str = "ee_customer_id", carry: list[str] | None = None) -> DataFrame:
     """Many series from one frame in one pass.
 
-    ``specs``: (series id, date column, score column, target column,
-    weight column or None, keep Column). Each input row yields one row per
-    spec whose ``keep`` holds; the frame is read once for all series.
+    ``specs``: (series id, date column, score column, target column, keep
+    Column). Each input row yields one row per spec whose ``keep`` holds; the
+    frame is read once for all series. ``carry`` columns (weights) come along.
     """
     items = []
-    for sid, date, score, target, weight, keep in specs:
-        w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    for sid, date, score, target, keep in specs:
         items.append(F.struct(F.lit(sid).alias("series"), F.to_date(F.col(date)).alias("obs_date"),
                               F.col(score).cast("double").alias("score"),
-                              F.col(target).cast("int").alias("target"), w.alias("weight"),
-                              keep.alias("_keep")))
+                              F.col(target).cast("int").alias("target"), keep.alias("_keep")))
     picked = F.filter(F.array(*items), lambda s: s["_keep"])
-    return (df.select(F.col(cid).alias("cid"), F.explode(picked).alias("_s"))
-            .select("_s.series", "cid", "_s.obs_date", "_s.score", "_s.target", "_s.weight"))
+    return (df.select(F.col(cid).alias("cid"), *(carry or []), F.explode(picked).alias("_s"))
+            .select("_s.series", "cid", "_s.obs_date", "_s.score", "_s.target", *(carry or [])))

@@ -15,11 +15,6 @@ def left_join_where(left: DataFrame, right: DataFrame, on: list[str], right_filt
     return left.join(right.where(right_filter), on=on, how="left")
 
 
-def keep_present(df: DataFrame, reference: DataFrame, on: list[str]) -> DataFrame:
-    """Rows whose key exists in ``reference`` (left semi join)."""
-    return df.join(reference.select(*on), on=on, how="left_semi")
-
-
 def pair_present(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
     """Key-aligned pairs present on both sides (inner join)."""
     return a.join(b, on=on, how="inner")

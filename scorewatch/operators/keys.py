@@ -3,7 +3,8 @@
 Picks are aggregates (``min_by`` / ``max_by`` over a struct of the order
 columns), not ``row_number`` windows: aggregates combine map-side, so a key
 holding a large share of the rows is reduced in every task before the
-shuffle instead of landing whole in one task.
+shuffle instead of landing whole in one task. Struct values make Spark plan
+them as sort aggregates, so each task sorts its rows by key first.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ def _struct(cols):
 def pick_first(df: DataFrame, keys: list[str], order: list, columns: list[str] | None = None) -> DataFrame:
     """One row per ``keys``: the row with the smallest ``order`` tuple.
 
-    ``order`` must end in a unique tie-break so the pick is deterministic.
-    Null order values sort first (Spark struct ordering).
+    Rows that tie on ``order`` are settled by all their other columns, so the
+    pick is deterministic. Null order values sort first (Spark struct ordering).
     """
     columns = [c for c in (columns or df.columns) if c not in keys]
-    picked = df.groupBy(*keys).agg(F.min_by(_struct(columns), _struct(order)).alias("_row"))
+    rest = [c for c in df.columns if c not in keys and not any(isinstance(o, str) and o == c for o in order)]
+    picked = df.groupBy(*keys).agg(F.min_by(_struct(columns), _struct([*order, *rest])).alias("_row"))
     return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in columns])
 
 
@@ -40,9 +42,18 @@ def first_non_null(df: DataFrame, keys: list[str], value: str, order: list, out:
             .groupBy(*keys).agg(F.min_by(F.col(value), _struct(order)).alias(out or value)))
 
 
-def last_non_null(df: DataFrame, keys: list[str], value: str, order: list, out: str | None = None) -> DataFrame:
-    return (df.where(F.col(value).isNotNull())
-            .groupBy(*keys).agg(F.max_by(F.col(value), _struct(order)).alias(out or value)))
+def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """A lookup reduced to one row per key, so a join on the key cannot multiply rows: the smallest
+    row, a value before a null."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    return pick_first(df, keys, [x for c in rest for x in (F.col(c).isNull(), F.col(c))])
+
+
+def first_and_last(df: DataFrame, keys: list[str], value: str, order: list, first: str, last: str) -> DataFrame:
+    """Value of the first and of the last row per key in ``order``, in one aggregate."""
+    return df.groupBy(*keys).agg(F.min_by(value, _struct(order)).alias(first), F.max_by(value, _struct(order)).alias(last))
 
 
 def dedup_on(df: DataFrame, subset: list[str], order: list) -> DataFrame:

@@ -1,26 +1,24 @@
 """Period membership (D11) without a join.
 
-Periods are a short parameter list (name, start, end), possibly
-overlapping. Each row is matched against the list with a higher-order
-``filter`` and exploded once per matching period, so the data is read once
-for all periods and no join or exchange is needed.
+Periods are a parameter list (name, start, end), possibly overlapping. Each
+row is matched against the list, one constant array in the plan, with a
+higher-order ``filter`` and exploded once per matching period, so the data
+is read once for all periods and no join or exchange is needed.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_PERIODS = 1000
+SCHEMA = "array<struct<Period:string,Start_Date:date,End_Date:date>>"
 
 
 def periods_literal(periods):
-    """[(name, 'yyyy-MM-dd', 'yyyy-MM-dd'), ...] -> array<struct> literal."""
-    if len(periods) > MAX_PERIODS:
-        raise ValueError("period list too long")
-    return F.array(*[F.struct(F.lit(n).alias("Period"),
-                              F.lit(s).cast("date").alias("Start_Date"),
-                              F.lit(e).cast("date").alias("End_Date")) for n, s, e in periods])
+    """[(name, 'yyyy-MM-dd', 'yyyy-MM-dd'), ...] -> constant array<struct>, of any length."""
+    return F.from_json(F.lit(json.dumps([{"Period": n, "Start_Date": s, "End_Date": e} for n, s, e in periods])), SCHEMA)
 
 
 def assign_periods(df: DataFrame, date_col: str, periods) -> DataFrame:

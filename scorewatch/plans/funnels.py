@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.core import canonical_id, flag, month_label, safe_ratio, shift_months
 from ..functions.scorecard import income_number, points_segment, tenure_years, total_points
-from ..operators.keys import pick_first
+from ..operators.keys import one_row_per_key, pick_first
 from .ordered import chunked_next
 from .params import Params
 
@@ -59,29 +59,29 @@ def employee_profile(users: DataFrame, income_info: DataFrame, user_timelines: D
         "Credit_limit")
 
 
-def onboarding_cohort(scores_api: DataFrame, user_timelines: DataFrame, p: Params) -> DataFrame:
+def onboarding_cohort(scores_api: DataFrame, user_timelines: DataFrame, p: Params, tie_break=()) -> DataFrame:
     """Employees activated in [funnel_from, funnel_to): first score run each."""
-    t = user_timelines.select(canonical_id(UID).alias("employee_id"), "first_account_activated_at") \
-        .where((F.col("first_account_activated_at") >= F.lit(p.funnel_from).cast("timestamp"))
-               & (F.col("first_account_activated_at") < F.lit(p.funnel_to).cast("timestamp")))
+    t = one_row_per_key(user_timelines.select(canonical_id(UID).alias("employee_id"), "first_account_activated_at")
+                        .where((F.col("first_account_activated_at") >= F.lit(p.funnel_from).cast("timestamp"))
+                               & (F.col("first_account_activated_at") < F.lit(p.funnel_to).cast("timestamp"))), ["employee_id"])
     s = scores_api.select(canonical_id("ee_customer_id").alias("employee_id"), F.to_date("run_date").alias("run_date"),
-                          "run_key", F.col("oop_risk_segment_prod").alias("oop_risk_segment"))
-    first = pick_first(s.join(t, "employee_id", "inner"), ["employee_id"], ["run_date", "run_key"])
+                          *tie_break, F.col("oop_risk_segment_prod").alias("oop_risk_segment"))
+    first = pick_first(s.join(t, "employee_id", "inner"), ["employee_id"], ["run_date", *tie_break])
     return first.select("employee_id", F.to_date("first_account_activated_at").alias("ee_onboarding_date"),
                         month_label(F.to_date("first_account_activated_at")).alias("Onboarding_month"),
                         "oop_risk_segment")
 
 
-def _outcomes(cohort: DataFrame, resignation: DataFrame, targets: DataFrame) -> DataFrame:
-    res = resignation.select(canonical_id("ee_customer_id").alias("employee_id"),
-                             F.to_date("ee_resignation_date_correct").alias("ee_resignation_date_correct"))
-    tg = targets.select(canonical_id(UID).alias("employee_id"), "target", "target_maturity_flag")
-    return cohort.join(res, "employee_id", "left").join(tg, "employee_id", "left")
+def _target_outcomes(targets: DataFrame, key: str) -> DataFrame:
+    """Outcome, maturity and resignation date of the collection targets, one row per customer."""
+    return one_row_per_key(targets.select(
+        canonical_id(UID).alias(key), "target", "target_maturity_flag",
+        F.to_date("ee_resignation_date_correct").alias("ee_resignation_date_correct")), [key])
 
 
-def unit_funnel(cohort: DataFrame, resignation: DataFrame, targets: DataFrame, p: Params) -> DataFrame:
+def unit_funnel(cohort: DataFrame, targets: DataFrame, p: Params) -> DataFrame:
     """Onboarded -> left job -> matured -> bad, per month x segment and per month."""
-    d = _outcomes(cohort, resignation, targets)
+    d = cohort.join(_target_outcomes(targets, "employee_id"), "employee_id", "left")
     left = F.col("ee_resignation_date_correct") < F.lit(p.funnel_left_before).cast("date")
     matured = F.col("target_maturity_flag") == 1
     out = _levels(d, ["Onboarding_month"], "oop_risk_segment", [
@@ -93,28 +93,33 @@ def unit_funnel(cohort: DataFrame, resignation: DataFrame, targets: DataFrame, p
                           F.bround(safe_ratio("cnt_oop_flag_bad", "cnt_left_job") * 100, 2))
 
 
-def money_funnel(cohort: DataFrame, profile: DataFrame, resignation: DataFrame, targets: DataFrame,
-                 backscore_new: DataFrame, p: Params) -> DataFrame:
-    """Credit limit and balances of matured customers, per month x segment and per month."""
-    prof = profile.select(canonical_id(UID).alias("employee_id"), F.col("Credit_limit").try_cast("double")
-                          .alias("credit_limit"))
-    bal = backscore_new.select(canonical_id("ee_customer_id").alias("employee_id"), "osbal_as_of_resignation_date",
-                               "osbal_as_of_oop_eligible_date", "osbal_as_of_current_date")
-    matured = targets.where(F.col("target_maturity_flag") == 1).select(canonical_id(UID).alias("employee_id"))
-    d = (_outcomes(cohort, resignation, targets).join(prof, "employee_id", "left")
-         .join(matured, "employee_id", "left_semi").join(bal, "employee_id", "left"))
+def money_funnel(cohort: DataFrame, profile: DataFrame, targets: DataFrame, backscore_new: DataFrame,
+                 p: Params) -> DataFrame:
+    """Credit limit and balances of matured customers, per month x segment and per month.
+
+    The two levels have their own measures: a segment row sums the balances
+    of all its customers (the bad ones' current balance by outcome alone), a
+    month row those of customers who left their job before the cutoff.
+    """
+    limits = one_row_per_key(profile.select(canonical_id(UID).alias("employee_id"),
+                                            F.col("Credit_limit").try_cast("double").alias("credit_limit")), ["employee_id"])
+    bal = one_row_per_key(backscore_new.select(
+        canonical_id("ee_customer_id").alias("employee_id"), "osbal_as_of_resignation_date",
+        "osbal_as_of_oop_eligible_date", "osbal_as_of_current_date"), ["employee_id"])
+    matured = _target_outcomes(targets.where(F.col("target_maturity_flag") == 1), "employee_id")
+    d = cohort.join(matured, "employee_id").join(limits, "employee_id", "left").join(bal, "employee_id", "left")
     left = F.col("ee_resignation_date_correct") < F.lit(p.funnel_left_before).cast("date")
-    bad = left & (F.col("target") == 0)
-    out = _levels(d, ["Onboarding_month"], "oop_risk_segment", [
+    bad = F.col("target") == 0
+    at_resignation, at_eligible = F.col("osbal_as_of_resignation_date"), F.col("osbal_as_of_oop_eligible_date")
+    now = F.coalesce("osbal_as_of_current_date", F.lit(0.0))
+    by_segment = F.grouping("oop_risk_segment") == 0
+    measure = lambda segment, month, name: F.round(F.when(by_segment, F.sum(segment)).otherwise(F.sum(month)), 2).alias(name)
+    return _levels(d, ["Onboarding_month"], "oop_risk_segment", [
         F.count("employee_id").alias("cnt_matured"),
         F.round(F.sum("credit_limit"), 2).alias("tot_credit_limit"),
-        F.round(F.sum(F.when(left, F.col("osbal_as_of_resignation_date")).otherwise(0.0)), 2)
-        .alias("tot_os_as_of_resignation"),
-        F.round(F.sum(F.when(left, F.col("osbal_as_of_oop_eligible_date")).otherwise(0.0)), 2)
-        .alias("tot_os_as_of_oop_eligible"),
-        F.round(F.sum(F.when(bad, F.coalesce("osbal_as_of_current_date", F.lit(0.0)))), 2)
-        .alias("tot_os_from_bad_customers")])
-    return out
+        measure(at_resignation, F.when(left, at_resignation).otherwise(0.0), "tot_os_as_of_resignation"),
+        measure(at_eligible, F.when(left, at_eligible).otherwise(0.0), "tot_os_as_of_oop_eligible"),
+        measure(F.when(bad, now), F.when(left & bad, now), "tot_os_from_bad_customers")])
 
 
 # ------------------------------------------------------------ points scorecard
@@ -147,13 +152,14 @@ def switch_resignation(repayment_responses: DataFrame, vendors=("TPSD", "TPFP"),
     ``users`` (one ``user_id`` column) restricts the events to the users a
     report needs before any ordering work (a semi join).
     """
-    r = (repayment_responses.where(F.col("vendor_id").isin(list(vendors)) & F.col("repaid_at").isNotNull())
-         .select(canonical_id(UID).alias(UID), "vendor_id", "repaid_at", F.to_date("repaid_at").alias("repaid_day")))
+    r = (repayment_responses.where(F.col("vendor_id").isin(list(vendors)) & F.col("repaid_at").isNotNull()
+                                   & F.col(UID).isNotNull())
+         .select(canonical_id(UID).alias(UID), "vendor_id", "repaid_at", F.date_trunc("hour", "repaid_at").alias("repaid_hour")))
     if users is not None:
         r = r.join(users.select(UID), UID, "left_semi")
-    nxt = chunked_next(r, [UID], "repaid_day", ["repaid_at", "vendor_id"], "vendor_id", "next_vendor")
-    return (nxt.where((F.col("vendor_id") == "TPSD") & (F.col("next_vendor") == "TPFP"))
-            .groupBy(UID).agg(F.max(shift_months("repaid_day", 1)).alias("resignation_date")))
+    nxt = chunked_next(r, [UID], ["repaid_hour"], ["repaid_at", "vendor_id"], "vendor_id", "next_vendor")
+    return (nxt.where((F.col("vendor_id") == vendors[0]) & (F.col("next_vendor") == vendors[1]))
+            .groupBy(UID).agg(F.max(shift_months(F.to_date("repaid_at"), 1)).alias("resignation_date")))
 
 
 def points_cohort(payment_responses: DataFrame, users: DataFrame, income_info: DataFrame,
@@ -165,14 +171,14 @@ def points_cohort(payment_responses: DataFrame, users: DataFrame, income_info: D
     return pick_first(c, [UID], ["risk_segment"])
 
 
-def points_unit_funnel(cohort: DataFrame, repayment_responses: DataFrame, targets: DataFrame,
-                       p: Params) -> DataFrame:
-    """Per onboarding month: onboarded, left job, matured, bad, bad / matured."""
-    tg = targets.where(F.col("target_maturity_flag") == 1).select(canonical_id(UID).alias(UID), "target",
-                                                                  "target_maturity_flag")
-    d = (cohort.join(switch_resignation(repayment_responses, users=cohort), UID, "left")
-         .join(tg, UID, "left"))
-    left = F.col("resignation_date") <= F.lit(p.points_left_by).cast("date")
+def points_unit_funnel(cohort: DataFrame, targets: DataFrame, p: Params) -> DataFrame:
+    """Per onboarding month: onboarded, left job, matured, bad, bad / matured.
+
+    Who left the job is read from the matured target's resignation date.
+    """
+    tg = _target_outcomes(targets.where(F.col("target_maturity_flag") == 1), UID)
+    d = cohort.join(tg, UID, "left")
+    left = F.col("ee_resignation_date_correct") <= F.lit(p.points_left_by).cast("date")
     agg = d.groupBy(month_label("onboarding_date").alias("onboarding_month")).agg(
         F.count(UID).alias("cnt_onboarded"),
         F.sum(flag(left)).alias("cnt_left_job"),
@@ -182,19 +188,22 @@ def points_unit_funnel(cohort: DataFrame, repayment_responses: DataFrame, target
 
 
 def points_money_funnel(cohort: DataFrame, credit_info: DataFrame, targets: DataFrame,
-                        backscore_new: DataFrame) -> DataFrame:
-    """Credit limit and eligible-date balances of matured and bad customers."""
-    limit = credit_info.where(F.col("key") == "credit-limit").select(
-        canonical_id(UID).alias(UID), F.col("value").try_cast("double").alias("credit_limit"))
-    tg = targets.where(F.col("target_maturity_flag") == 1).select(canonical_id(UID).alias(UID), "target")
-    bal = backscore_new.select(canonical_id("ee_customer_id").alias(UID), "osbal_as_of_oop_eligible_date")
-    d = cohort.join(limit, UID, "left").join(tg, UID, "left").join(bal, UID, "left")
-    matured = F.col("target").isNotNull()
+                        backscore_new: DataFrame, p: Params) -> DataFrame:
+    """Credit limit and balances of customers with a matured target and a balance record.
+
+    The rate is the bad customers' balance at the eligible date as a
+    percentage of the leavers' balance at resignation.
+    """
+    limit = one_row_per_key(credit_info.where(F.col("key") == "credit-limit").select(
+        canonical_id(UID).alias(UID), F.col("value").try_cast("double").alias("credit_limit")), [UID])
+    tg = _target_outcomes(targets.where(F.col("target_maturity_flag") == 1), UID)
+    bal = one_row_per_key(backscore_new.select(canonical_id("ee_customer_id").alias(UID), "osbal_as_of_resignation_date",
+                                               "osbal_as_of_oop_eligible_date"), [UID])
+    d = cohort.join(bal, UID).join(tg, UID).join(limit, UID, "left")
+    left = F.col("ee_resignation_date_correct") <= F.lit(p.points_left_by).cast("date")
     agg = d.groupBy(month_label("onboarding_date").alias("onboarding_month")).agg(
-        F.count(UID).alias("cnt_onboarded"),
         F.round(F.sum("credit_limit"), 2).alias("tot_credit_limit"),
-        F.round(F.sum(F.when(matured, F.col("osbal_as_of_oop_eligible_date")).otherwise(0.0)), 2)
-        .alias("tot_os_eligible_matured"),
-        F.round(F.sum(F.when(F.col("target") == 0, F.col("osbal_as_of_oop_eligible_date")).otherwise(0.0)), 2)
-        .alias("tot_os_eligible_bad"))
-    return agg.withColumn("peso_rate", F.bround(safe_ratio("tot_os_eligible_bad", "tot_os_eligible_matured"), 4))
+        F.round(F.sum(F.when(left, F.col("osbal_as_of_resignation_date"))), 2).alias("tot_os_as_of_resignation"),
+        F.round(F.sum("osbal_as_of_oop_eligible_date"), 2).alias("tot_os_as_of_oop_eligible"),
+        F.round(F.sum(F.when(F.col("target") == 0, F.col("osbal_as_of_oop_eligible_date"))), 2).alias("tot_os_from_bad_customers"))
+    return agg.withColumn("peso_rate", F.bround(safe_ratio("tot_os_from_bad_customers", "tot_os_as_of_resignation") * 100, 4))

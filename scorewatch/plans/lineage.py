@@ -1,10 +1,14 @@
 """Resignation dates, loan balances and data-quality audits.
 
 Repayment events are ordered per loan by (repaid date, installment,
-outstanding balance desc, paid amount desc) plus part/supplier keys as a
-unique tie-break. Ordered work per loan is done day by day
-(``plans.ordered``): a loan with very many events is spread over its days
-instead of being sorted in a single task.
+outstanding balance desc, paid amount desc), nulls last, and then by the
+caller's tie-break columns. Ordered work per loan is done by day and
+installment (``plans.ordered``): a loan with very many events is spread over
+these instead of being sorted in a single task.
+
+Events without a loan id belong to no sequence: they have no next event and
+no running balance. A null paid amount leaves its own row without a balance
+and adds nothing to the rows after it.
 """
 
 from __future__ import annotations
@@ -14,13 +18,13 @@ from pyspark.sql import functions as F
 
 from ..functions.core import canonical_id, shift_months
 from ..functions.dates import as_date_text, normalise_date
-from ..operators.keys import duplicate_keys
-from .ordered import chunked_next, chunked_running_sum
+from ..operators.keys import duplicate_keys, one_row_per_key
+from .ordered import chunked_next, chunked_window
 from .params import Params
 
 CID = "ee_customer_id"
-REPAYMENT_ORDER = [("installment_number", True), ("outstanding_balance", False), ("paid_amount", False),
-                   ("part_key", True), ("supp_key", True)]
+CHUNKS = ["repaid_date", "installment_number"]
+REPAYMENT_ORDER = [("outstanding_balance", False), ("paid_amount", False)]      # inside a chunk
 SALARY_DEDUCTION, SELF_PAY = "TPSD", "TPFP"
 
 
@@ -32,18 +36,18 @@ def employer_loans(features: DataFrame, only_employer: bool = True) -> DataFrame
     return f
 
 
-def customer_dates(loans: DataFrame, p: Params) -> DataFrame:
+def customer_dates(loans: DataFrame, p: Params, order=("ee_onboarding_date", "ln_loan_id")) -> DataFrame:
     """First non-null HR resignation text and freeze date per customer, normalised.
 
     One aggregate gives every customer and both first non-null values
-    (E9): a row whose value is null gets a null ordering key, which
-    ``min_by`` skips. The lower bound is the earliest onboarding date of the
+    (E9, in the order of the loan rows that ``order`` names): a row whose value
+    is null gets a null ordering key, which ``min_by`` skips. The lower bound is the earliest onboarding date of the
     book (E17), evaluated once as a scalar subquery.
     """
     types = dict((f.name, f.dataType) for f in loans.schema.fields)
     res = as_date_text("ee_resignation_date", types["ee_resignation_date"])
     frz = as_date_text("ee_permanent_freeze_date", types["ee_permanent_freeze_date"])
-    order = F.col("ln_seq")
+    order = F.struct(*order)
     out = loans.groupBy(CID).agg(
         F.min_by(res, F.when(res.isNotNull(), order)).alias("resignation_text"),
         F.min_by(frz, F.when(frz.isNotNull(), order)).alias("freeze_text"))
@@ -54,26 +58,31 @@ def customer_dates(loans: DataFrame, p: Params) -> DataFrame:
                       "freeze_text", f_tag.alias("freeze_tag"), f_date.alias("freeze_date"))
 
 
-def ordered_repayments(repayments: DataFrame) -> DataFrame:
+def ordered_repayments(repayments: DataFrame, tie_break=()) -> DataFrame:
     return repayments.select(canonical_id("user_id").alias("user_id"), canonical_id("loan_id").alias("loan_id"),
                              "vendor_id", F.to_date("repaid_date").alias("repaid_date"), "installment_number",
-                             "outstanding_balance", "paid_amount", "paid_principal", "part_key", "supp_key")
+                             "outstanding_balance", "paid_amount", "paid_principal", *tie_break)
 
 
-def switch_dates(repayments: DataFrame) -> DataFrame:
+def next_vendor(repayments: DataFrame, tie_break=()) -> DataFrame:
+    """every event with a loan and the vendor of the loan's next event."""
+    events = ordered_repayments(repayments, tie_break).where(F.col("loan_id").isNotNull())
+    return chunked_next(events, ["loan_id"], CHUNKS, [*REPAYMENT_ORDER, *tie_break], "vendor_id", "next_vendor")
+
+
+def switch_dates(repayments: DataFrame, tie_break=()) -> DataFrame:
     """Last salary-deduction -> self-pay switch per user, plus one month."""
-    r = chunked_next(ordered_repayments(repayments), ["loan_id"], "repaid_date", REPAYMENT_ORDER,
-                     "vendor_id", "next_vendor")
+    r = next_vendor(repayments, tie_break)
     switches = r.where((F.col("vendor_id") == SALARY_DEDUCTION) & (F.col("next_vendor") == SELF_PAY))
     return (switches.groupBy(F.col("user_id").alias(CID))
             .agg(F.max(shift_months("repaid_date", 1)).alias("switch_resignation_date")))
 
 
 def resolve_resignation(features: DataFrame, repayments: DataFrame, p: Params,
-                        only_employer: bool = True) -> DataFrame:
+                        only_employer: bool = True, tie_break=(), loan_order=("ee_onboarding_date", "ln_loan_id")) -> DataFrame:
     """HR date, else freeze date (both validated), else repayment switch + 1 month."""
-    dates = customer_dates(employer_loans(features, only_employer), p)
-    sw = switch_dates(repayments)
+    dates = customer_dates(employer_loans(features, only_employer), p, loan_order)
+    sw = switch_dates(repayments, tie_break)
     out = dates.join(sw, CID, "left")
     resolved = F.coalesce("resignation_date", "freeze_date", "switch_resignation_date")
     source = (F.when(F.col("resignation_date").isNotNull(), F.lit("hr"))
@@ -83,21 +92,31 @@ def resolve_resignation(features: DataFrame, repayments: DataFrame, p: Params,
                       source.alias("resignation_source"))
 
 
-def balance_ledger(repayments: DataFrame, features: DataFrame, digits: int | None = 2) -> DataFrame:
-    """Cumulative paid principal and balance after / before each payment."""
-    loans = (features.select(canonical_id("ln_loan_id").alias("loan_id"),
-                             F.col("ln_original_principal").cast("double").alias("ln_original_principal"))
-             .distinct())
-    r = ordered_repayments(repayments).join(loans, "loan_id", "left")
-    r = chunked_running_sum(r, ["loan_id"], "repaid_date", REPAYMENT_ORDER, "paid_principal",
-                            "cumulative_paid_principal")
-    after = F.col("ln_original_principal") - F.col("cumulative_paid_principal")
-    before = after + F.col("paid_principal")
+def balance_ledger(repayments: DataFrame, features: DataFrame, digits: int | None = 2, tie_break=()) -> DataFrame:
+    """Cumulative paid principal and balance after / before each payment.
+
+    The balance before a payment is the balance after the loan's previous
+    payment; the first payment, and one after a payment without an amount,
+    starts from the loan's principal.
+    """
+    loans = one_row_per_key(features.select(canonical_id("ln_loan_id").alias("loan_id"),
+                                            F.col("ln_original_principal").cast("double").alias("ln_original_principal"))
+                            .where(F.col("loan_id").isNotNull()), ["loan_id"])
+    events = ordered_repayments(repayments, tie_break)
+    columns = ["user_id", "loan_id", "vendor_id", "repaid_date", "installment_number", "paid_principal"]
+    in_order = chunked_window(events.where(F.col("loan_id").isNotNull()), ["loan_id"], CHUNKS, [*REPAYMENT_ORDER, *tie_break],
+                              sums={"_so_far": "paid_principal"}, previous={"_previous": "paid_principal"})
+    rows = in_order.select(*columns, "_so_far", "_previous").unionByName(
+        events.where(F.col("loan_id").isNull()).select(*columns, F.lit(None).cast("double").alias("_so_far"),
+                                                       F.lit(None).cast("double").alias("_previous")))
+    r = rows.join(loans, "loan_id", "left")
+    principal, paid = F.col("ln_original_principal"), F.col("paid_principal")
+    cumulative = F.when(paid.isNotNull(), F.col("_so_far"))
+    before = F.when(F.col("_previous").isNull(), principal).otherwise(
+        principal - (F.col("_so_far") - F.coalesce(paid, F.lit(0.0))))
     rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-    return r.select("user_id", "loan_id", "vendor_id", "repaid_date", "installment_number", "part_key", "supp_key",
-                    "paid_principal", "ln_original_principal",
-                    rnd(F.col("cumulative_paid_principal")).alias("cumulative_paid_principal"),
-                    rnd(after).alias("osbal_after"), rnd(before).alias("osbal_before"))
+    return r.select(*columns, "ln_original_principal", rnd(cumulative).alias("cumulative_paid_principal"),
+                    rnd(principal - cumulative).alias("osbal_after"), rnd(before).alias("osbal_before"))
 
 
 def date_quality(dates: DataFrame) -> DataFrame:
@@ -119,7 +138,7 @@ def tag_date_disagreement(user_tag: DataFrame, resignation: DataFrame, tag_id: i
     """Active resignation tags whose date differs from the resolved date."""
     tags = (user_tag.where((F.col("tag_id") == tag_id) & F.col("deleted_at").isNull())
             .select(canonical_id("user_id").alias(CID), F.to_date("created_at").alias("tag_date")))
-    res = resignation.select(canonical_id(CID).alias(CID),
-                             F.to_date("ee_resignation_date_correct").alias("ee_resignation_date_correct"))
+    res = one_row_per_key(resignation.select(canonical_id(CID).alias(CID),
+                                             F.to_date("ee_resignation_date_correct").alias("ee_resignation_date_correct")), [CID])
     return (tags.join(res, CID, "inner")
             .where(F.col("tag_date") != F.col("ee_resignation_date_correct")))

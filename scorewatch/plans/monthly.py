@@ -3,8 +3,10 @@
     python -m scorewatch.plans.monthly <data_dir> <out_dir> [reference|testdata]
 
 ``data_dir`` holds the shared test tables; the logical monitoring tables are
-derived from them by ``sources.adapters``. Each page is its own Spark job
-reading the tables in full; nothing is collected to the driver.
+derived from them by ``sources.adapters``. Resignation dates are resolved
+first (R17), published as a dated snapshot (A9) and feed every outcome
+report. Each page is its own Spark job reading the tables in full; nothing is
+collected to the driver.
 """
 
 from __future__ import annotations
@@ -13,47 +15,76 @@ import sys
 
 from pyspark.sql import DataFrame
 
+from ..functions.bands import ATTRITION_ORDER, SEGMENTS
+from ..operators.rank_order import with_all_labels
 from ..session import build_session
 from ..sources.adapters import Logical
-from ..sources.sinks import export_reports
+from ..sources.sinks import export_reports, publish_snapshot
 from ..sources.tables import TableSet
 from . import funnels as fn
 from . import lineage as ln
 from . import portfolio as pf
 from .params import REFERENCE, TESTDATA, Params
 from .performance import Monitoring
+from .staging import drop_staged, stage
 
 
-def monthly_pages(lg, p: Params) -> dict[str, DataFrame]:
-    m = Monitoring(lg, p)
-    base = pf.outcome_base(m.oop_new, lg["resignation"], p)
-    master = pf.scorecard_master(lg["scores_api"], lg["onboarding"])
+class Wired:
+    """Logical tables with the resignation dates replaced by the resolved ones (R17 feeds the reports)."""
+
+    def __init__(self, tables, resolved: DataFrame):
+        self.tables, self.resolved = tables, resolved
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.resolved if name == "resignation" else self.tables[name]
+
+
+def wired(lg, p: Params, run_key=(), event_key=(), loan_order=("ee_onboarding_date", "ln_loan_id")) -> Monitoring:
+    """Master frames whose outcomes use the resignation dates resolved from HR, freeze and repayment records."""
+    resolved = ln.resolve_resignation(lg["features"], lg["repayments"], p, tie_break=event_key, loan_order=loan_order)
+    return Monitoring(Wired(lg, stage(resolved, "resolved")), p, tie_break=run_key)
+
+
+def monthly_pages(lg, p: Params, run_key=(), event_key=(), loan_order=("ee_onboarding_date", "ln_loan_id")) -> dict[str, DataFrame]:
+    m = wired(lg, p, run_key, event_key, loan_order)
+    resignation = m.t["resignation"]
+    base = pf.outcome_base(m.oop_new, resignation, p)
+    master = pf.scorecard_master(lg["scores_api"], lg["onboarding"], run_key)
+    onboarded = pf.onboarded_base(master, resignation, lg["backscore_oop_new"], lg["targets"], p)
     profile = fn.employee_profile(lg["users"], lg["income_info"], lg["user_timelines"], lg["employers"],
                                   lg["user_tag"], lg["credit_info"])
-    cohort = fn.onboarding_cohort(lg["scores_api"], lg["user_timelines"], p)
+    cohort = fn.onboarding_cohort(lg["scores_api"], lg["user_timelines"], p, run_key)
     points = fn.points_cohort(lg["payment_responses"], lg["users"], lg["income_info"], lg["user_timelines"], p)
-    resolved = ln.resolve_resignation(lg["features"], lg["repayments"], p)
+    performance = stage(m.model_performance(), "performance")
+    repay, attrition = ["RiskGroup", SEGMENTS], ["AttritionGroup", list(ATTRITION_ORDER)]
+    full = lambda page, labels: with_all_labels(page, labels[0], labels[1], keys=["ModelVersion"])  # noqa: E731  G4
     return {
-        "page02_model_performance_gini_cindex": m.model_performance(),
-        "page03_oop_rank_order_new_users": m.repay_rank_order_new(),
-        "page04_oop_rank_order_existing_users": m.repay_rank_order_existing(),
-        "page05_attrition_rank_order_new_users": m.attrition_rank_order_new(),
-        "page06_attrition_rank_order_existing_users": m.attrition_rank_order_existing(),
+        "page01_headline": m.headline(performance),
+        "page02_model_performance_gini_cindex": performance,
+        "page03_oop_rank_order_new_users": full(m.repay_rank_order_new(), repay),
+        "page04_oop_rank_order_existing_users": full(m.repay_rank_order_existing(), repay),
+        "page05_attrition_rank_order_new_users": full(m.attrition_rank_order_new(), attrition),
+        "page06_attrition_rank_order_existing_users": full(m.attrition_rank_order_existing(), attrition),
         "page07_unit_bad_rate_mom": pf.unit_bad_rate(base, p.run_month),
         "page08_peso_bad_rate_mom": pf.peso_bad_rate(base, p.run_month),
-        "page09_cl_plus_exposure": pf.cl_exposure(master, p),
-        "page10_new_borrower_exposure": pf.cohort_exposure(master, lg["cl_summary"], p),
+        "page07_unit_bad_rate_onboarded": pf.onboarded_unit_bad_rate(onboarded, p.run_month),
+        "page08_peso_bad_rate_onboarded": pf.onboarded_peso_bad_rate(onboarded, p.run_month),
+        "page09_cl_plus_exposure": pf.cl_exposure(master, p, run_key),
+        "page09_cl_change_exposure": pf.cl_change_exposure(lg["cl_changes"], p),
+        "page10_new_borrower_exposure": pf.cohort_exposure(master, lg["cl_summary"], p, run_key),
         "page11_utilization_trend": pf.utilisation(lg["portfolio_snapshot"], p),
         "weighted_gini_grid": m.weighted_gini_grid(),
         "segment_cutoffs": m.segment_cutoffs(),
-        "unit_funnel": fn.unit_funnel(cohort, lg["resignation"], lg["targets"], p),
-        "money_funnel": fn.money_funnel(cohort, profile, lg["resignation"], lg["targets"],
-                                        lg["backscore_oop_new"], p),
-        "points_unit_funnel": fn.points_unit_funnel(points, lg["repayment_responses"], lg["targets"], p),
-        "points_money_funnel": fn.points_money_funnel(points, lg["credit_info"], lg["targets"],
-                                                      lg["backscore_oop_new"]),
-        "resignation_resolution": resolved,
-        "date_quality": ln.date_quality(ln.customer_dates(ln.employer_loans(lg["features"]), p)),
+        "segment_cutoffs_existing": m.segment_cutoffs(existing=True),
+        "unit_funnel": fn.unit_funnel(cohort, lg["targets"], p),
+        "money_funnel": fn.money_funnel(cohort, profile, lg["targets"], lg["backscore_oop_new"], p),
+        "points_unit_funnel": fn.points_unit_funnel(points, lg["targets"], p),
+        "points_money_funnel": fn.points_money_funnel(points, lg["credit_info"], lg["targets"], lg["backscore_oop_new"], p),
+        "resignation_resolution": resignation,
+        "balance_ledger": ln.balance_ledger(lg["repayments"], lg["features"], tie_break=event_key),
+        "employee_profile": profile,
+        "tag_date_disagreement": ln.tag_date_disagreement(lg["user_tag"], resignation),
+        "date_quality": ln.date_quality(ln.customer_dates(ln.employer_loans(lg["features"]), p, loan_order)),
         "repayment_duplicates": ln.repayment_duplicates(lg["repayments"]),
     }
 
@@ -68,13 +99,20 @@ PAGE_ORDER = {
     "page07_unit_bad_rate_mom": ["Scorecard", "OnboardingMonth"],
     "page08_peso_bad_rate_mom": ["Scorecard", "OnboardingMonth"],
     "page09_cl_plus_exposure": ["CLCategory"],
-    "page10_new_borrower_exposure": ["TableType", "OnboardingCohort", "UserType"],
+    "page10_new_borrower_exposure": ["TableType", "CohortOrder", "UserType"],      # G3: earliest onboarding first
+    "page07_unit_bad_rate_onboarded": ["Scorecard", "OnboardingMonth"],
+    "page08_peso_bad_rate_onboarded": ["Scorecard", "OnboardingMonth"],
+    "page09_cl_change_exposure": ["CLCategory"],
+    "page01_headline": ["UserType", "Model", "ModelVersion"],
+    "segment_cutoffs": ["segment"],
+    "segment_cutoffs_existing": ["segment"],
     "page11_utilization_trend": ["ReportMonth"],
 }
 
 
 # Customer- or event-level outputs: written in parallel, not as a single page file.
-LARGE_OUTPUTS = frozenset({"resignation_resolution", "repayment_duplicates"})
+LARGE_OUTPUTS = frozenset({"resignation_resolution", "repayment_duplicates", "balance_ledger", "employee_profile",
+                           "tag_date_disagreement"})
 
 
 def main(argv) -> None:
@@ -82,8 +120,12 @@ def main(argv) -> None:
     p = REFERENCE if len(argv) > 3 and argv[3] == "reference" else TESTDATA
     spark = build_session()
     lg = Logical(spark, TableSet(spark, data_dir))
-    for name, path in export_reports(monthly_pages(lg, p), out_dir, PAGE_ORDER, LARGE_OUTPUTS).items():
+    pages = monthly_pages(lg, p, run_key=("run_key",), event_key=("part_key", "supp_key"), loan_order=("ln_seq",))
+    publish_snapshot(pages["resignation_resolution"].select("ee_customer_id", "ee_resignation_date_correct"),
+                     f"{out_dir}/snapshots/resignation", p.as_of)          # A9
+    for name, path in export_reports(pages, out_dir, PAGE_ORDER, LARGE_OUTPUTS).items():
         print(name, path)
+    drop_staged(spark)
 
 
 if __name__ == "__main__":

@@ -6,21 +6,26 @@ the rows, that task dominates the job. The plans below split each key into
 chunks, compute inside chunks in parallel, and stitch the chunks together
 with a small per-chunk table:
 
-* ``chunked_running_sum``  running sum per key; chunks are given by a column
-  (e.g. the day of a repayment), so a hot key spreads over its days.
-* ``chunked_next``         value of the next row per key (lead), same chunks.
-* ``bucketed_exclusive_prefix``  exclusive prefix sum per group over a sorted
-  numeric column; chunks are equal-frequency buckets from approximate
-  quantiles, so a group with millions of distinct values is split evenly.
-
-Every plan is exact: chunking changes where rows are processed, not results.
+* ``chunked_window``  running sums, next and previous values per key; chunks
+  are the leading order columns (e.g. day and installment of a repayment), so
+  a hot key spreads over its chunks, and so does a hot (key, day).
+* ``bucketed_exclusive_prefix``  exclusive prefix sums per group over a sorted
+  numeric column; chunks are equal-frequency buckets whose number follows the
+  row count.
+
+Rows with null keys, chunks, order columns or values are kept, and results
+equal the plain window's with nulls last in every order column (as the
+reference's sorts put them): null keys form one group, sums skip nulls. The
+input is staged once, and all branches read the staged table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+
+from ..functions.core import count_below
+from .staging import stage
 
 
 def _spec(order):
@@ -28,103 +33,103 @@ def _spec(order):
     return [(o, True) if isinstance(o, str) else (o[0], bool(o[1])) for o in order]
 
 
-def _cols(order):
-    """Window ordering expressions for an order spec."""
-    return [F.col(n).asc() if asc else F.col(n).desc() for n, asc in _spec(order)]
+def order_columns(order):
+    """Window ordering for an order spec, nulls last."""
+    return [F.col(n).asc_nulls_last() if asc else F.col(n).desc_nulls_last() for n, asc in _spec(order)]
 
 
-def _key(order):
-    """Struct whose natural ordering equals the spec (descending numeric
-    columns are negated), for ``min_by``."""
-    return F.struct(*[(F.col(n) if asc else -F.col(n)).alias(f"_k{i}") for i, (n, asc) in enumerate(_spec(order))])
+def _order_key(order):
+    """Struct whose natural ordering equals ``order_columns`` (descending columns must be numeric)."""
+    parts = []
+    for i, (n, asc) in enumerate(_spec(order)):
+        parts += [F.col(n).isNull().alias(f"_n{i}"), (F.col(n) if asc else -F.col(n)).alias(f"_k{i}")]
+    return F.struct(*parts)
 
 
-def chunked_running_sum(df: DataFrame, keys: list[str], chunk: str, order: list,
-                        value: str, out: str) -> DataFrame:
-    """Inclusive running sum of ``value`` per ``keys`` ordered by (chunk, order).
+def chunked_window(df: DataFrame, keys: list[str], chunks: list[str], order: list, sums: dict | None = None,
+                   nexts: dict | None = None, previous: dict | None = None) -> DataFrame:
+    """Running sums (``sums``: out -> value column, inclusive), values of the next row (``nexts``) and
+    of the previous row (``previous``) per ``keys``, ordered by (chunks, order).
 
-    Stage 1: running sum inside each (keys, chunk).
-    Stage 2: per-(keys, chunk) totals, exclusive prefix over the chunks of a
-             key (rows = chunks of a key, e.g. its distinct days).
-    Stage 3: join the offset back on (keys, chunk) - both sides are already
-             partitioned on those columns.
-    """
-    ordered = Window.partitionBy(*keys, chunk).orderBy(*_cols(order))
-    inner = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*keys, chunk)
-    # One window pass (one exchange, one sort): running sum inside the
-    # chunk, the chunk total, and which row opens the chunk.
-    local = (df.withColumn("_local_sum", F.sum(value).over(inner))
-             .withColumn("_chunk_sum", F.sum(value).over(whole))
-             .withColumn("_is_first", F.row_number().over(ordered) == 1))
-    totals = local.where("_is_first").select(*keys, chunk, "_chunk_sum")
-    across = Window.partitionBy(*keys).orderBy(chunk) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, chunk,
-                            F.coalesce(F.sum("_chunk_sum").over(across), F.lit(0.0)).alias("_offset"))
-    return (local.join(offsets, on=[*keys, chunk], how="inner")
-            .withColumn(out, F.col("_local_sum") + F.col("_offset"))
-            .drop("_local_sum", "_chunk_sum", "_is_first", "_offset"))
-
-
-def chunked_next(df: DataFrame, keys: list[str], chunk: str, order: list,
-                 value: str, out: str) -> DataFrame:
-    """``lead(value)`` per ``keys`` ordered by (chunk, order), chunk by chunk.
-
-    Inside a chunk the next row comes from a window over (keys, chunk); the
-    last row of a chunk takes the first value of the next chunk of its key.
+    Inside a (keys, chunks) group a window does the work. One aggregate gives
+    every group's total, first and last value (it combines map-side), a
+    window over these lines gives each group what lies before and after it,
+    and a join hands it back. The join key is a struct, which compares nulls
+    as equal.
     """
-    inner = Window.partitionBy(*keys, chunk).orderBy(*_cols(order))
-    # One window pass gives the in-chunk lead, whether a following row
-    # exists (told apart from a null next value by a lead over a constant),
-    # and which row opens its chunk.
-    local = (df.withColumn("_next_local", F.lead(value).over(inner))
-             .withColumn("_has_next", F.lead(F.lit(1)).over(inner).isNotNull())
-             .withColumn("_is_first", F.row_number().over(inner) == 1))
-    firsts = local.where("_is_first").select(*keys, chunk, F.col(value).alias("_first_value"))
-    across = Window.partitionBy(*keys).orderBy(chunk)
-    following = firsts.select(*keys, chunk, F.lead("_first_value").over(across).alias("_next_chunk_first"))
-    return (local.join(following, on=[*keys, chunk], how="inner")
-            .withColumn(out, F.when(F.col("_has_next"), F.col("_next_local"))
-                        .otherwise(F.col("_next_chunk_first")))
-            .drop("_next_local", "_has_next", "_is_first", "_next_chunk_first"))
+    sums, nexts, previous = sums or {}, nexts or {}, previous or {}
+    rows = stage(df, "ordered")
+    group = F.struct(*keys, *chunks)
+    ordered = Window.partitionBy("_g").orderBy(*order_columns(order))
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumn("_g", group).withColumns(
+        {f"_sum_{o}": F.sum(v).over(so_far) for o, v in sums.items()}
+        | {f"_next_{o}": F.lead(F.struct(v)).over(ordered) for o, v in nexts.items()}     # a struct tells a null value from no row
+        | {f"_prev_{o}": F.lag(F.struct(v)).over(ordered) for o, v in previous.items()})
+
+    key = _order_key(order)
+    parts = rows.groupBy(*keys, *chunks).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.sum(v).alias(f"_sum_{o}") for o, v in sums.items()],
+        *[F.min_by(F.struct(v), key).alias(f"_next_{o}") for o, v in nexts.items()],
+        *[F.max_by(F.struct(v), key).alias(f"_prev_{o}") for o, v in previous.items()])
+    across = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in chunks])
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    around = parts.select(
+        group.alias("_og"), *[F.sum(f"_sum_{o}").over(before).alias(f"_base_{o}") for o in sums],
+        *[F.lead(f"_next_{o}").over(across).alias(f"_after_{o}") for o in nexts],
+        *[F.lag(f"_prev_{o}").over(across).alias(f"_before_{o}") for o in previous])
+    joined = local.join(around, F.col("_g") == F.col("_og"))
+
+    def total(o):
+        a, b = F.col(f"_sum_{o}"), F.col(f"_base_{o}")
+        return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
+
+    # An int key given to F.struct(v) keeps the column's own name inside the struct.
+    return joined.select(
+        *df.columns, *[total(o).alias(o) for o in sums],
+        *[F.coalesce(f"_next_{o}", f"_after_{o}")[v].alias(o) for o, v in nexts.items()],
+        *[F.coalesce(f"_prev_{o}", f"_before_{o}")[v].alias(o) for o, v in previous.items()])
+
+
+def chunked_running_sum(df: DataFrame, keys: list[str], chunks: list[str], order: list, value: str, out: str) -> DataFrame:
+    """Inclusive running sum of ``value`` per ``keys`` in (chunks, order)."""
+    return chunked_window(df, keys, chunks, order, sums={out: value})
+
+
+def chunked_next(df: DataFrame, keys: list[str], chunks: list[str], order: list, value: str, out: str) -> DataFrame:
+    """``lead(value)`` per ``keys`` in (chunks, order)."""
+    return chunked_window(df, keys, chunks, order, nexts={out: value})
 
 
 def bucketed_exclusive_prefix(df: DataFrame, groups: list[str], order: str, values: list[str],
-                              buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+                              rows_per_bucket: int = 100_000, accuracy: int = 10000) -> DataFrame:
     """Exclusive prefix sums of ``values`` per ``groups`` ordered by ``order``.
 
-    ``df`` must have one row per (groups, order) value (aggregate first). The
-    order column is cut into ``buckets`` equal-frequency ranges per group
-    from ``percentile_approx``; the cut values are a bounded sketch
-    (groups x buckets numbers) collected once so that every stage sees the
-    same buckets, then broadcast back.
+    ``df`` has one row per (groups, order) value (aggregate first), no null
+    order values, and is staged or cheap to read (it is counted). Up to
+    ``rows_per_bucket`` rows a plain window per group does; beyond that the
+    order column is cut into equal-frequency ranges per group by a quantile
+    sketch, as many as the row count asks for. The bucketed rows are staged,
+    so that every branch sees the same buckets.
     """
-    spark = df.sparkSession
+    buckets = -(-df.count() // rows_per_bucket)
+    zero = F.lit(0.0)
+    if buckets <= 1:
+        before = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns({f"{v}_before": F.coalesce(F.sum(v).over(before), zero) for v in values})
     probs = [i / buckets for i in range(1, buckets)]
-    sketch = (df.groupBy(*groups)
-              .agg(F.percentile_approx(order, probs, accuracy).alias("_cuts"))
-              .collect())
-    bound = 100_000
-    if len(sketch) * buckets > bound:
-        raise ValueError(f"too many groups for bucketed prefix: {len(sketch)}")
-    schema = df.select(*groups).schema.add("_cuts", ArrayType(DoubleType()))
-    cuts = spark.createDataFrame([tuple(r[g] for g in groups) + ([float(x) for x in (r["_cuts"] or [])],)
-                                  for r in sketch], schema)
-    with_bucket = (df.join(F.broadcast(cuts), on=groups, how="inner")
-                   .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(order))))
-                   .drop("_cuts"))
-    inner = Window.partitionBy(*groups, "_bucket").orderBy(order) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    local = with_bucket
-    for v in values:
-        local = local.withColumn(f"_local_{v}", F.coalesce(F.sum(v).over(inner), F.lit(0.0)))
-    totals = with_bucket.groupBy(*groups, "_bucket").agg(*[F.sum(v).alias(f"_tot_{v}") for v in values])
-    across = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*groups, "_bucket",
-                            *[F.coalesce(F.sum(f"_tot_{v}").over(across), F.lit(0.0)).alias(f"_off_{v}")
-                              for v in values])
-    joined = local.join(offsets, on=[*groups, "_bucket"], how="inner")
-    for v in values:
-        joined = joined.withColumn(f"{v}_before", F.col(f"_local_{v}") + F.col(f"_off_{v}"))
-    return joined.drop("_bucket", *[f"_local_{v}" for v in values], *[f"_off_{v}" for v in values])
+    group = F.struct(*groups)
+    cuts = df.groupBy(*groups).agg(F.percentile_approx(order, probs, max(accuracy, 10 * buckets)).alias("_cuts")) \
+        .select(group.alias("_cg"), "_cuts")
+    bucket = count_below(F.col("_cuts"), F.col(order), len(probs))
+    rows = stage(df.withColumn("_g", group).join(cuts, F.col("_g") == F.col("_cg"))
+                 .withColumn("_b", F.struct("_g", bucket.alias("bucket"))).drop("_cuts", "_cg", "_g"), "prefix-rows")
+    inner = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.withColumns({f"_local_{v}": F.coalesce(F.sum(v).over(inner), zero) for v in values})
+    totals = rows.groupBy("_b").agg(*[F.sum(v).alias(f"_tot_{v}") for v in values])
+    across = Window.partitionBy("_b._g").orderBy("_b.bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("_b").alias("_ob"), *[F.coalesce(F.sum(f"_tot_{v}").over(across), zero).alias(f"_off_{v}")
+                                                        for v in values])
+    return local.join(offsets, F.col("_b") == F.col("_ob")).select(
+        *df.columns, *[(F.col(f"_local_{v}") + F.col(f"_off_{v}")).alias(f"{v}_before") for v in values])

@@ -46,6 +46,11 @@ class Params:
     max_valid_date: str
     # Headline summary: periods averaged.
     headline_periods: tuple
+    # Original cut rule: first run date whose production scores set the edges.
+    cut_runs_from: str
+    # Onboarding window of the bad-rate pages over all onboarded customers (inclusive).
+    bad_rate_from: str
+    bad_rate_to: str
     dev_gini: tuple = field(default=(
         # Development-sample Gini / C-Index of the production models.
         ("New users (< 3MOB)", "OOP Repay", "v1.0 Prod", 0.30),
@@ -72,6 +77,8 @@ REFERENCE = Params(
     points_from="2025-06-01", points_to="2025-12-31", points_left_by="2026-03-01",
     max_valid_date="2026-03-23",
     headline_periods=("Jul 2025", "Aug 2025", "Sep 2025"),
+    cut_runs_from="2025-10-15",
+    bad_rate_from="2025-06-01", bad_rate_to="2025-12-31",
 )
 
 TESTDATA = Params(
@@ -88,7 +95,9 @@ TESTDATA = Params(
     cohort_rest="Onboarded 2000+",
     utilisation_from="1996-07-01", as_of="2001-06-30",
     funnel_from="1996-01-01", funnel_to="1999-01-01", funnel_left_before="2000-02-01",
-    points_from="2024-01-01", points_to="2024-01-31", points_left_by="2001-03-01",
+    points_from="2022-06-01", points_to="2023-12-31", points_left_by="2001-03-01",
     max_valid_date="2001-06-30",
     headline_periods=("1996", "1997"),
+    cut_runs_from="1998-01-15",
+    bad_rate_from="1996-06-01", bad_rate_to="1999-12-31",
 )

@@ -18,6 +18,11 @@ OOP, ATTR = "OOP Repay", "Attrition"
 V1, V2 = "v1.0 Prod", "v2.0 BS"
 METRIC_NAME = {OOP: "Gini", ATTR: "C-Index"}
 
+# The eight series of page 2 (series id, model, version, user type).
+SERIES = [("oop_v1_new", OOP, V1, NEW), ("oop_v2_new", OOP, V2, NEW), ("oop_v1_ex", OOP, V1, EXISTING), ("oop_v2_ex", OOP, V2, EXISTING),
+          ("attr_v1_new", ATTR, V1, NEW), ("attr_v2_new", ATTR, V2, NEW), ("attr_v1_ex", ATTR, V1, EXISTING),
+          ("attr_v2_ex", ATTR, V2, EXISTING)]
+
 
 class Monitoring:
     """Master frames of one monthly run, built lazily from logical tables.
@@ -27,9 +32,10 @@ class Monitoring:
     resignation) to DataFrames.
     """
 
-    def __init__(self, tables, params: Params, materialize: bool = True):
+    def __init__(self, tables, params: Params, materialize: bool = True, tie_break: tuple[str, ...] = ()):
         self.t = tables
         self.p = params
+        self.tie_break = tuple(tie_break)
         self.materialize = materialize
         self._memo: dict[str, DataFrame] = {}
 
@@ -47,16 +53,16 @@ class Monitoring:
 
     @property
     def api_base(self):
-        return self._get("api", lambda: fr.prod_api_base(self.t["scores_api"], self.t["onboarding"]))
+        return self._get("api", lambda: fr.prod_api_base(self.t["scores_api"], self.t["onboarding"], self.tie_break))
 
     @property
     def batch_base(self):
-        return self._get("batch", lambda: fr.prod_batch_base(self.t["scores_batch"], self.t["onboarding"]))
+        return self._get("batch", lambda: fr.prod_batch_base(self.t["scores_batch"], self.t["onboarding"], self.tie_break))
 
     @property
     def oop_new(self):
         return self._get("oop_new", lambda: fr.oop_new_calc(self.api_base, self.t["targets"],
-                                                            self.t["backscore_oop_new"]))
+                                                            self.t["backscore_oop_new"], self.tie_break))
 
     @property
     def oop_existing(self):
@@ -71,7 +77,7 @@ class Monitoring:
     @property
     def attr_prod_new(self):
         return self._get("apn", lambda: fr.attr_prod_api_calc(self.api_base, self.t["resignation"],
-                                                              self.t["backscore_attrition"]))
+                                                              self.t["backscore_attrition"], self.tie_break))
 
     @property
     def attr_prod_existing(self):
@@ -88,86 +94,52 @@ class Monitoring:
 
     # ------------------------------------------------------------ page 2
 
-    def performance_series(self):
-        """(series id, model, version, user type, frame, date, score, target)."""
-        nn = lambda df, c: df.where(valid_number(c))
-        return [
-            ("oop_v1_new", OOP, V1, NEW, self.oop_new, "ee_onboarding_date", "oop_score_prod", "oop_target"),
-            ("oop_v2_new", OOP, V2, NEW, nn(self.oop_new, "score_oop"), "ee_onboarding_date", "score_oop",
-             "oop_target"),
-            ("oop_v1_ex", OOP, V1, EXISTING, self.oop_existing, "run_date", "oop_score_prod", "oop_target"),
-            ("oop_v2_ex", OOP, V2, EXISTING, nn(self.oop_existing, "score_oop"), "run_date", "score_oop",
-             "oop_target"),
-            ("attr_v1_new", ATTR, V1, NEW, nn(self.attr_prod_new, "attrition_score_prod"), "run_date",
-             "attrition_score_prod", "attrition_event"),
-            ("attr_v2_new", ATTR, V2, NEW, nn(self.attr_bs_new, "score_attr_corrected"), "calc_date_correct",
-             "score_attr_corrected", "attrition_event"),
-            ("attr_v1_ex", ATTR, V1, EXISTING, nn(self.attr_prod_existing, "attrition_score_prod"), "run_date",
-             "attrition_score_prod", "attrition_event"),
-            ("attr_v2_ex", ATTR, V2, EXISTING, nn(self.attr_bs_existing, "score_attr_corrected"),
-             "calc_date_correct", "score_attr_corrected", "attrition_event"),
-        ]
-
     # ------------------------------------------------ stacked series, one pass per source
 
     def _outcome_sources(self):
         return (self._get("new_out", lambda: fr.new_user_outcomes(
                     self.api_base, self.t["targets"], self.t["backscore_oop_new"], self.t["resignation"],
-                    self.t["backscore_attrition"])),
+                    self.t["backscore_attrition"], self.tie_break)),
                 self._get("ex_out", lambda: fr.existing_user_outcomes(
                     self.batch_base, self.t["targets"], self.t["backscore_oop_new"],
                     self.t["backscore_oop_existing"], self.t["resignation"], self.t["backscore_attrition"])),
                 self._get("bs_out", lambda: fr.rescored_attrition_outcomes(
                     self.t["backscore_attrition"], self.t["resignation"])))
 
-    def stacked_series(self, weights: dict | None = None) -> DataFrame:
-        """All page-2 series as rows (series, cid, obs_date, score, target, weight).
-
-        Each source frame is read once and exploded into its series, instead
-        of one union branch per series re-reading the same tables.
-        ``weights`` (name -> column or None) switches to the repay weight grid.
-        """
+    def repay_stack(self, carry: list[str] | None = None) -> list[DataFrame]:
+        """Rows (series, cid, obs_date, score, target, *carry) of the four repay series, one pass per source."""
+        new, ex, _ = self._outcome_sources()
+        has_t, v2 = F.col("oop_target").isNotNull(), valid_number("score_oop")
+        return [explode_series(new, [("oop_v1_new", "ee_onboarding_date", "oop_score_prod", "oop_target", has_t),
+                                     ("oop_v2_new", "ee_onboarding_date", "score_oop", "oop_target", has_t & v2)], carry=carry),
+                explode_series(ex, [("oop_v1_ex", "run_date", "oop_score_prod", "oop_target", has_t),
+                                    ("oop_v2_ex", "run_date", "score_oop", "oop_target", has_t & v2)], carry=carry)]
+
+    def stacked_series(self) -> DataFrame:
+        """Rows of all eight page-2 series; each source frame is read once and exploded into its series."""
         new, ex, bs = self._outcome_sources()
-        has_t = F.col("oop_target").isNotNull()
-        v2 = valid_number("score_oop")
-        attr_prod = valid_number("attrition_score_prod")
-        attr_bs = valid_number("score_attr_corrected")
-        if weights is None:
-            new_specs = [("oop_v1_new", "ee_onboarding_date", "oop_score_prod", "oop_target", None, has_t),
-                         ("oop_v2_new", "ee_onboarding_date", "score_oop", "oop_target", None, has_t & v2),
-                         ("attr_v1_new", "run_date", "attrition_score_prod", "attrition_event", None, attr_prod)]
-            ex_specs = [("oop_v1_ex", "run_date", "oop_score_prod", "oop_target", None, has_t),
-                        ("oop_v2_ex", "run_date", "score_oop", "oop_target", None, has_t & v2),
-                        ("attr_v1_ex", "run_date", "attrition_score_prod", "attrition_event", None, attr_prod)]
-            bs_specs = [("attr_v2_new", "calc_date_correct", "score_attr_corrected", "attrition_event", None,
-                         attr_bs & (F.col("is_new_customer_flag_1m") == 1)),
-                        ("attr_v2_ex", "calc_date_correct", "score_attr_corrected", "attrition_event", None,
-                         attr_bs & (F.col("is_new_customer_flag_3m") == 0))]
-        else:
-            new_specs, ex_specs, bs_specs = [], [], []
-            for wname, wcol in weights.items():
-                new_specs += [(f"oop_v1_new_{wname}", "ee_onboarding_date", "oop_score_prod", "oop_target", wcol, has_t),
-                              (f"oop_v2_new_{wname}", "ee_onboarding_date", "score_oop", "oop_target", wcol,
-                               has_t & v2)]
-                ex_specs += [(f"oop_v1_ex_{wname}", "run_date", "oop_score_prod", "oop_target", wcol, has_t),
-                             (f"oop_v2_ex_{wname}", "run_date", "score_oop", "oop_target", wcol, has_t & v2)]
-        parts = [explode_series(new, new_specs), explode_series(ex, ex_specs)]
-        if bs_specs:
-            parts.append(explode_series(bs, bs_specs))
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
+        has_t, v2 = F.col("oop_target").isNotNull(), valid_number("score_oop")
+        attr_prod, attr_bs = valid_number("attrition_score_prod"), valid_number("score_attr_corrected")
+        parts = [
+            explode_series(new, [("oop_v1_new", "ee_onboarding_date", "oop_score_prod", "oop_target", has_t),
+                                 ("oop_v2_new", "ee_onboarding_date", "score_oop", "oop_target", has_t & v2),
+                                 ("attr_v1_new", "run_date", "attrition_score_prod", "attrition_event", attr_prod)]),
+            explode_series(ex, [("oop_v1_ex", "run_date", "oop_score_prod", "oop_target", has_t),
+                                ("oop_v2_ex", "run_date", "score_oop", "oop_target", has_t & v2),
+                                ("attr_v1_ex", "run_date", "attrition_score_prod", "attrition_event", attr_prod)]),
+            explode_series(bs, [("attr_v2_new", "calc_date_correct", "score_attr_corrected", "attrition_event",
+                                 attr_bs & (F.col("is_new_customer_flag_1m") == 1)),
+                                ("attr_v2_ex", "calc_date_correct", "score_attr_corrected", "attrition_event",
+                                 attr_bs & (F.col("is_new_customer_flag_3m") == 0))])]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
     def model_performance(self) -> DataFrame:
         """Gini / C-Index per period for the eight series, plus fixed dev rows."""
-        series = self.performance_series()
         stacked = self.stacked_series()
-        g = gini_by_period(stacked, [s[0] for s in series], self.p.gini_periods)
+        g = gini_by_period(stacked, [s[0] for s in SERIES], self.p.gini_periods)
         spark = stacked.sparkSession
-        labels = spark.createDataFrame([(sid, m, v, u) for sid, m, v, u, *_ in series],
-                                       "series string, Model string, ModelVersion string, UserType string")
-        body = g.join(F.broadcast(labels), "series").drop("series")
+        labels = spark.createDataFrame(SERIES, "series string, Model string, ModelVersion string, UserType string")
+        body = g.join(F.broadcast(labels), "series").drop("series", "Weighting")
         dev = spark.createDataFrame([(u, m, v, "Dev", float(gv)) for u, m, v, gv in self.p.dev_gini],
                                     "UserType string, Model string, ModelVersion string, Period string, Gini double")
         out = body.unionByName(dev, allowMissingColumns=True)
@@ -178,31 +150,28 @@ class Monitoring:
                           F.lit(self.p.run_month).alias("RunMonth"))
 
     def weighted_gini_grid(self) -> DataFrame:
-        """R2: repay Gini for {v1, v2} x {new, existing} x {unit, balance, log balance}."""
+        """R2: repay Gini for {v1, v2} x {new, existing} x {unit, balance, log balance}; weights are columns."""
         weights = {"Unweighted": None, "Balance": "osbal_as_of_oop_eligible_date",
                    "LogBalance": "osbal_as_of_oop_eligible_date_log"}
-        labels = []
-        for sid, m, v, u, *_ in self.performance_series()[:4]:
-            for wname in weights:
-                labels.append((f"{sid}_{wname}", v, u, wname))
-        stacked = self.stacked_series(weights)
-        g = gini_by_period(stacked, [lab[0] for lab in labels], self.p.gini_periods)
-        lab = stacked.sparkSession.createDataFrame(
-            labels, "series string, ModelVersion string, UserType string, Weighting string")
+        new, ex = self.repay_stack([c for c in weights.values() if c])
+        repay = [s for s in SERIES if s[1] == OOP]
+        g = gini_by_period(new.unionByName(ex), [s[0] for s in repay], self.p.gini_periods, weights)
+        lab = new.sparkSession.createDataFrame([(sid, v, u) for sid, _, v, u in repay],
+                                               "series string, ModelVersion string, UserType string")
         return g.join(F.broadcast(lab), "series").select(
             "ModelVersion", "UserType", "Weighting", "Period", "Start_Date", "End_Date",
             "Sample_Size", "Bad_Rate_Pct", "Gini")
 
     def headline(self, performance: DataFrame | None = None) -> DataFrame:
-        """Mean Gini over the chosen periods beside the fixed dev value."""
+        """Mean Gini over the chosen periods beside the fixed dev value, in one aggregate of page 2."""
         perf = performance if performance is not None else self.model_performance()
-        current = (perf.where(F.col("Period").isin(list(self.p.headline_periods)))
-                   .groupBy("UserType", "Model", "ModelVersion")
-                   .agg(F.bround(F.avg("Gini"), 6).alias("Avg_Gini"),
-                        F.count("Gini").alias("Periods_Used")))
-        dev = perf.where(F.col("Period") == "Dev").select("UserType", "Model", "ModelVersion",
-                                                          F.col("Gini").alias("Dev_Gini"))
-        return current.join(dev, ["UserType", "Model", "ModelVersion"], "left")
+        chosen = F.col("Period").isin(list(self.p.headline_periods))
+        return (perf.groupBy("UserType", "Model", "ModelVersion")
+                .agg(F.count(F.when(chosen, 1)).alias("_rows"),
+                     F.bround(F.avg(F.when(chosen, F.col("Gini"))), 6).alias("Avg_Gini"),
+                     F.count(F.when(chosen, F.col("Gini"))).alias("Periods_Used"),
+                     F.max(F.when(F.col("Period") == "Dev", F.col("Gini"))).alias("Dev_Gini"))
+                .where("_rows > 0").drop("_rows"))
 
     # ------------------------------------------------------------ pages 3-6
 
@@ -259,3 +228,9 @@ class Monitoring:
         """Re-derived cut points as a segment table."""
         base = self.oop_existing if existing else self.oop_new
         return cutoff_table(derive_cuts(base, "score_oop", "oop_risk_segment_prod"))
+
+    def production_cutoffs(self, existing: bool = False) -> DataFrame:
+        """R22, original rule: edges of the production score on runs from ``cut_runs_from`` on."""
+        base = self.batch_base if existing else self.api_base
+        recent = base.where(F.to_date("run_date") >= F.lit(self.p.cut_runs_from).cast("date"))
+        return cutoff_table(derive_cuts(recent, "oop_score_prod", "oop_risk_segment_prod"))

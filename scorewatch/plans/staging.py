@@ -1,25 +1,43 @@
 """Stage an intermediate DataFrame as a parquet table under the checkpoint directory.
 
 A frame that feeds several branches of a plan (cut points and pivots, the
-three Gini aggregates and the score sketch) is written once and read back,
-so the joins behind it run once. The table lives in the shared directory the
-cluster names in ``spark.checkpoint.dir``; it survives executor loss like a
-checkpoint, but it is written by one columnar job (``Dataset.checkpoint``
-would compute the plan twice and serialise rows).
+Gini aggregates, the chunk tables of ordered work) is written once and read
+back, so the joins behind it run once. The table lives in the shared
+directory the cluster names in ``spark.checkpoint.dir``; it survives executor
+loss like a checkpoint, but it is written by one columnar job
+(``Dataset.checkpoint`` would compute the plan twice and serialise rows).
+
+Staged tables are kept until ``drop_staged``: call it when the results built
+on them have been written.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
+_STAGED: list[str] = []
+
 
-def stage(df: DataFrame, name: str = "stage", compression: str = "snappy") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", compression: str = "snappy", keep: bool = False) -> DataFrame:
+    """Write ``df`` and read it back. ``keep`` exempts the table from ``drop_staged``."""
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/scorewatch-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").option("compression", compression).parquet(path)
+    if not keep:
+        _STAGED.append(path)
     return spark.read.parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete every table staged so far by this process (not the kept ones); returns how many."""
+    dropped = 0
+    while _STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        dropped += 1
+    return dropped

@@ -7,7 +7,6 @@ deployment and are read, never overwritten.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -61,14 +60,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when nothing is configured (local tests) a scratch
-    directory is created.
+    used as is; a ``file:`` path is refused there, unless
+    ``spark.scorewatch.sharedMount`` says that it is a mount all machines
+    share. Only when nothing is configured (local tests) a scratch directory
+    is created.
     """
     sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
+    if (current or conf_dir or "").startswith("file:") and not sc.master.startswith("local") \
+            and spark.conf.get("spark.scorewatch.sharedMount", "false") != "true":
+        raise RuntimeError(f"{current or conf_dir} is a local folder; spark.checkpoint.dir must be shared by all machines")
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
@@ -77,11 +81,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="scorewatch-ckpt-")
     sc.setCheckpointDir(local)
     return local
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return max(1, int(spark.sparkContext.defaultParallelism))
-
-
-def env_cpus(default: int = 8) -> int:
-    return int(os.environ.get("BENCH_CPUS", default))

@@ -20,7 +20,7 @@ Mapping summary (cid = customer key as string):
 * ``resignation``     customer -> resolved resignation date (some null)
 * ``backscore_*``     customer / orders -> re-scored models
 * ``features``        orders   -> loan rows with dirty resignation strings
-* ``repayments``      lineitem x orders -> repayment events per loan
+* ``repayments``      lineitem x orders -> repayment events per loan (some without loan, date or amount)
 * ``users`` ...       customer / events / nation -> operational tables
 """
 
@@ -99,7 +99,9 @@ FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey""",
     "targets": """
 SELECT CAST(c_custkey AS STRING) AS user_id,
        CASE WHEN c_acctbal >= 2000 THEN 1 ELSE 0 END AS target,
-       CASE WHEN c_mktsegment <> 'FURNITURE' THEN 1 ELSE 0 END AS target_maturity_flag
+       CASE WHEN c_mktsegment <> 'FURNITURE' THEN 1 ELSE 0 END AS target_maturity_flag,
+       CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE', 'MACHINERY') AND c_custkey % 11 <> 4
+            THEN DATE '1995-01-01' + CAST((c_custkey * 7919) % 2400 + (c_custkey * 131) % 900 AS INT) END AS ee_resignation_date_correct
 FROM {customer}""",
 
     "resignation": f"""
@@ -158,13 +160,13 @@ FROM {{orders}}""",
 
     "repayments": """
 SELECT CAST(o_custkey AS STRING) AS user_id,
-       CAST(l_orderkey AS STRING) AS loan_id,
+       CASE WHEN l_suppkey % 41 = 7 THEN NULL ELSE CAST(l_orderkey AS STRING) END AS loan_id,
        CASE WHEN l_returnflag = 'R' THEN 'TPFP' ELSE 'TPSD' END AS vendor_id,
-       CAST(l_shipdate AS DATE) AS repaid_date,
+       CASE WHEN l_partkey % 53 = 3 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS repaid_date,
        l_linenumber AS installment_number,
        l_extendedprice * (1 + l_tax) AS outstanding_balance,
        l_extendedprice AS paid_amount,
-       FLOOR(l_extendedprice * (1 - l_discount) * 100) / 100 AS paid_principal,
+       CASE WHEN l_partkey % 29 = 11 THEN NULL ELSE FLOOR(l_extendedprice * (1 - l_discount) * 100) / 100 END AS paid_principal,
        l_partkey AS part_key,
        l_suppkey AS supp_key
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
@@ -225,7 +227,7 @@ SELECT c_custkey AS user_id, 'segment' AS key, c_mktsegment AS value
 FROM {customer}""",
 
     "payment_responses": """
-SELECT user_id AS payer_user_id, ts AS created_at,
+SELECT user_id AS payer_user_id, ts - INTERVAL 1 DAY * (user_id * 37 % 700) AS created_at,
        CASE event_type WHEN 'purchase' THEN 'PTOK' WHEN 'signup' THEN 'CTOK' ELSE 'FAIL' END AS status
 FROM {events}""",
 
@@ -241,6 +243,14 @@ SELECT CAST(c_custkey AS STRING) AS user_id,
        c_acctbal > 5000 AS has_cl_plus
 FROM {{customer}}""",
 
+    "cl_changes": f"""
+SELECT CAST(c_custkey AS STRING) AS user_id,
+       GREATEST(c_acctbal, 0) AS old_cl,
+       GREATEST(c_acctbal, 0) + CASE c_nationkey % 3 WHEN 0 THEN 250 WHEN 1 THEN 0 ELSE -CAST(400 AS DOUBLE) END AS new_cl,
+       c_custkey % 5 <> 2 AS is_existing_user,
+       CASE WHEN c_custkey % 7 = 1 THEN NULL ELSE {ONB_C} + 30 END AS cl_plus_start_date
+FROM {{customer}}""",
+
     "portfolio_snapshot": """
 SELECT last_day(CAST(l_shipdate AS DATE)) AS report_month_end,
        l_extendedprice AS credit_limit,

@@ -1,41 +1,72 @@
 import random
 
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from scorewatch.plans.ordered import bucketed_exclusive_prefix, chunked_next, chunked_running_sum
+from scorewatch.plans.ordered import bucketed_exclusive_prefix, chunked_next, chunked_running_sum, chunked_window, order_columns
 
+SCHEMA = "k string, day int, part int, seq int, v string, x double"
 
-def _events(spark, n=3000, seed=3):
+
+def _events(n=3000, seed=3, dirty=True):
+    """One key-day holds a third of the rows; keys, days, parts and values may be null."""
     rng = random.Random(seed)
     rows = []
     for i in range(n):
-        key = "hot" if rng.random() < 0.34 else f"k{rng.randint(0, 40)}"   # one key holds a third of the rows
-        rows.append((key, rng.randint(0, 30), i, rng.choice(["A", "B", None]), float(rng.randint(1, 9))))
-    return spark.createDataFrame(rows, "k string, day int, seq int, v string, x double")
+        hot = rng.random() < 0.34
+        maybe = lambda v: None if dirty and rng.random() < 0.08 else v
+        rows.append(("hot" if hot else maybe(f"k{rng.randint(0, 40)}"), 5 if hot else maybe(rng.randint(0, 30)), maybe(rng.randint(0, 9)), i,
+                     rng.choice(["A", "B", None]), maybe(float(rng.randint(1, 9)))))
+    return rows
+
+
+def _plain(df, order):
+    """The same columns by plain windows over the whole key, nulls last."""
+    w = Window.partitionBy("k").orderBy(*order_columns(order))
+    return df.select("seq", F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cum"),
+                     F.lead("v").over(w).alias("nxt"), F.lag("x").over(w).alias("prv"))
 
 
-def test_chunked_running_sum_matches_window(spark):
-    df = _events(spark)
-    got = chunked_running_sum(df, ["k"], "day", ["seq"], "x", "cum").select("seq", "cum")
-    w = Window.partitionBy("k").orderBy("day", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    want = df.select("seq", F.sum("x").over(w).alias("cum"))
-    assert sorted(got.collect()) == sorted(want.collect())
+@pytest.mark.parametrize("chunks", [["day"], ["day", "part"]])
+@pytest.mark.parametrize("seed", [3, 4])
+def test_chunked_window_equals_the_plain_window(spark, chunks, seed):
+    df = spark.createDataFrame(_events(seed=seed), SCHEMA)
+    rest = [c for c in ("day", "part") if c not in chunks] + [("seq", False)]
+    got = chunked_window(df, ["k"], chunks, rest, sums={"cum": "x"}, nexts={"nxt": "v"}, previous={"prv": "x"})
+    assert got.columns == [*df.columns, "cum", "nxt", "prv"]
+    want = {r.seq: tuple(r) for r in _plain(df, ["day", "part", ("seq", False)]).collect()}
+    rows = got.select("seq", "cum", "nxt", "prv").collect()
+    assert len(rows) == 3000 and {r.seq: tuple(r) for r in rows} == want
 
 
-def test_chunked_next_matches_lead(spark):
-    df = _events(spark)
-    got = chunked_next(df, ["k"], "day", [("seq", False)], "v", "nxt").select("seq", "nxt")
-    w = Window.partitionBy("k").orderBy("day", F.col("seq").desc())
-    want = df.select("seq", F.lead("v").over(w).alias("nxt"))
-    assert sorted(got.collect(), key=lambda r: r.seq) == sorted(want.collect(), key=lambda r: r.seq)
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([1, 2, None]), st.sampled_from([1.0, 2.5, None])), min_size=1, max_size=25))
+def test_running_sum_and_next_on_any_rows(spark, rows):
+    df = spark.createDataFrame([(k, d, 0, i, k, x) for i, (k, d, x) in enumerate(rows)], SCHEMA)
+    want = {r.seq: tuple(r) for r in _plain(df, ["day", "seq"]).collect()}
+    cum = chunked_running_sum(df, ["k"], ["day"], ["seq"], "x", "cum").collect()
+    nxt = chunked_next(df, ["k"], ["day"], ["seq"], "v", "nxt").collect()
+    assert {r.seq: r.cum for r in cum} == {s: t[1] for s, t in want.items()}
+    assert {r.seq: r.nxt for r in nxt} == {s: t[2] for s, t in want.items()}
 
 
-def test_bucketed_prefix_matches_window(spark):
+@pytest.mark.parametrize("rows_per_bucket", [100, 100_000])
+def test_bucketed_prefix_matches_window(spark, rows_per_bucket):
     rng = random.Random(5)
-    rows = [("g1" if i % 3 else "g2", float(rng.randint(0, 500)), 1.0) for i in range(2000)]
+    rows = [(None if i % 5 == 0 else "g1" if i % 3 else "g2", float(rng.randint(0, 500)), 1.0) for i in range(2000)]
     df = spark.createDataFrame(rows, "g string, s double, w double").groupBy("g", "s").agg(F.sum("w").alias("w"))
-    got = bucketed_exclusive_prefix(df, ["g"], "s", ["w"], buckets=7).select("g", "s", "w_before")
+    got = bucketed_exclusive_prefix(df, ["g"], "s", ["w"], rows_per_bucket).select("g", "s", "w_before")
     win = Window.partitionBy("g").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     want = df.select("g", "s", F.coalesce(F.sum("w").over(win), F.lit(0.0)).alias("w_before"))
-    assert sorted(got.collect()) == sorted(want.collect())
+    key = lambda r: (r.g or "", r.s)
+    assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
+
+
+def test_prefix_takes_any_number_of_groups(spark):
+    df = spark.range(20_000).select((F.col("id") % 5000).cast("string").alias("g"), F.col("id").cast("double").alias("s"),
+                                    F.lit(1.0).alias("w"))
+    got = bucketed_exclusive_prefix(df, ["g"], "s", ["w"], rows_per_bucket=3000)
+    assert got.count() == 20_000 and got.agg(F.sum("w_before")).first()[0] == 5000 * (0 + 1 + 2 + 3)
