@@ -1,15 +1,14 @@
 """Document fingerprints from closed syncmers, with DataFrame functions only (operator 10).
 
-A text is read as its sequence of words. Every inner run of ``s`` words is
-hashed; a run of ``k`` words is an anchor (closed syncmer) if the smallest
-hash among its inner runs is the first or the last of them. Whether a run is
-an anchor depends on its own words alone, so an edit changes anchors only
-where it happens, and what two texts share has the same anchors in both. The
-fingerprint is the anchors' hashes in text order (8 hex digits each); a
-text without anchors (fewer than ``k`` words, or none picked) has one
-anchor, the hash of all its words. The likeness of two texts is the Jaccard
-similarity of their distinct anchors; anchors also carry their word
-position, so shared anchors can be matched place by place.
+A text is read as its sequence of words. A run of ``k`` words is an anchor
+(closed syncmer) if the smallest hash among its inner runs of ``s`` words
+belongs to the first or the last of them. Whether a run is an anchor depends
+on its own words alone, so an edit changes anchors only where it happens, and
+what two texts share has the same anchors in the same order in both. The
+fingerprint is the anchors' hashes in text order (8 hex digits each), so two
+fingerprints can be matched place by place; a text without anchors (fewer
+than ``k`` words, or none picked) has one anchor, the hash of all its words.
+The likeness of two texts is the Jaccard similarity of their distinct anchors.
 
 The next document's text is found without a global sort in one task: ids are
 cut into many buckets at approximate quantiles, each bucket also gets the
@@ -30,10 +29,10 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_BREAK, table
+from .common import table
 
 K_WORDS = 5
-S_WORDS = 2
+S_WORDS = 1
 MAX_BUCKETS = 65_536
 
 
@@ -43,19 +42,27 @@ def let(value: Column, body) -> Column:
 
 
 def anchors(text: Column, k: int = K_WORDS, s: int = S_WORDS) -> Column:
-    """array<struct<place, hash>>: the closed syncmers of a text, in order."""
-    words = F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")
+    """array<bigint>: hashes of the closed syncmers of a text, in order."""
+    spaced = F.coalesce(text, F.lit(""))
+    for blank in "\t\n\x0b\x0c\r":
+        spaced = F.replace(spaced, F.lit(blank), F.lit(" "))
+    words = F.filter(F.split(spaced, " "), lambda w: w != "")
     inner = k - s + 1
 
+    def starts(m: Column, n: Column) -> Column:
+        """Where a run of k words begins whose least inner hash is its first or last."""
+        return F.filter(F.sequence(F.lit(0), F.greatest(n - k, F.lit(0))),
+                        lambda i: F.least(F.get(m, i), F.get(m, i + inner - 1)) <= F.least(*[F.get(m, i + j) for j in range(1, inner - 1)], F.get(m, i)))
+
     def of(h: Column) -> Column:
         n = F.size(h)
-        runs = F.transform(F.sequence(F.lit(0), F.greatest(n - s, F.lit(0))),
-                           lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(s)]))
-        picked = let(runs, lambda m: F.transform(
-            F.filter(F.sequence(F.lit(0), F.greatest(n - k, F.lit(0))),
-                     lambda i: F.least(F.get(m, i), F.get(m, i + inner - 1)) == F.array_min(F.slice(m, i + 1, inner))),
-            lambda i: F.struct(i.alias("place"), F.xxhash64(F.slice(h, i + 1, k)).alias("hash"))))
-        whole = F.array(F.struct(F.lit(0).alias("place"), F.xxhash64(h).alias("hash")))
+        whole = F.array(F.xxhash64(h))
+        if s == 1:
+            at = starts(h, n)
+        else:
+            at = let(F.transform(F.sequence(F.lit(0), F.greatest(n - s, F.lit(0))),
+                                 lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(s)])), lambda m: starts(m, n))
+        picked = F.transform(at, lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)]))
         return (F.when(n == 0, F.slice(whole, 1, 0)).when(n < k, whole)
                 .otherwise(let(picked, lambda p: F.when(F.size(p) == 0, whole).otherwise(p))))
 
@@ -64,14 +71,13 @@ def anchors(text: Column, k: int = K_WORDS, s: int = S_WORDS) -> Column:
 
 def fingerprint(found: Column) -> Column:
     """The anchors' hashes in order, 8 hex digits each."""
-    return F.array_join(F.transform(found, lambda a: F.lpad(F.hex(a["hash"].bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), "")
+    return F.array_join(F.transform(found, lambda a: F.right(F.hex(a), F.lit(8))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Jaccard similarity of two anchor arrays' distinct hashes; two empty ones are alike."""
-    x, y = F.transform(a, lambda v: v["hash"]), F.transform(b, lambda v: v["hash"])
-    union = F.size(F.array_union(x, y))
-    return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(x, y)) / F.greatest(union, F.lit(1)))
+    union = F.size(F.array_union(a, b))
+    return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.greatest(union, F.lit(1)))
 
 
 def _bucket(value: Column, cuts: list[int]) -> Column:
@@ -123,16 +129,14 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Fingerprints of every text and of its edited form (its second half replaced by the
     start of the next document), with their likeness and that to the next document."""
     pairs = with_next(docs, id_col, text_col, {"found": anchors(F.col("text"))})
-    half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.expr("left(text, cast(n_chars - floor(n_chars / 2) as int))"), F.expr("left(next_text, cast(floor(n_chars / 2) as int))"))
     made = (pairs.withColumn("n_chars", F.char_length("text").cast("long"))
-            .select("doc_id", "n_chars", "found", "next_found", edited.alias("edited"), half.alias("_half"))
+            .select("doc_id", "n_chars", "found", "next_found", edited.alias("edited"))
             .withColumn("edited_found", anchors(F.col("edited"))))
     return made.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                        fingerprint(F.col("found")).alias("fingerprint"), fingerprint(F.col("edited_found")).alias("edited_fingerprint"),
                        likeness(F.col("found"), F.col("edited_found")).alias("near_edited"),
-                       likeness(F.col("found"), F.col("next_found")).alias("near_next"),
-                       F.size(F.array_intersect("found", "edited_found")).alias("edited_in_place"))
+                       likeness(F.col("found"), F.col("next_found")).alias("near_next"))
 
 
 def op10_closed_syncmers(spark, sf_dir):
