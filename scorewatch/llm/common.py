@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from ..plans.staging import stage
 
-#: Characters that separate words: space and U+0009 to U+000D.
-WORD_BREAK = r"[\x20\x09-\x0D]+"
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB: what a Python worker holds at once does not grow with the texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -52,13 +52,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
-from .common import arrow_schema, mix64, slices, table, text_bytes, word_hashes
+from .common import arrow_schema, bounded_batches, mix64, slices, table, text_bytes, word_hashes
 from .graph import components
 
 GROUPS = 64                 # coordinates of a point
-BLOCK = 2048                # rows that a task searches at once
+BLOCK = 512                 # rows that a task searches at once
 BITMAP_BITS = 26            # of the broadcast bitmap that thins out documents before verification: 8 MB
-SLICE_BYTES = 1_500_000
+SLICE_BYTES = 500_000
 
 _U = np.uint64
 _BASE = _U(0xD1342543DE82EF95)
@@ -419,6 +419,7 @@ def _of_class(texts: DataFrame, width: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) for every row; links: Jaccard >= num/den."""
+    bounded_batches(docs.sparkSession)
     sets = stage(sets_table(docs, id_col, text_col, width), "join-sets", compression="zstd")
     usable = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = stage(usable.groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("point").alias("point")),

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
-from .common import arrow_schema
+from .common import arrow_schema, bounded_batches
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -77,6 +77,7 @@ def byte_bpe(path: str, pattern: str) -> ByteBpe:
 def tokenised_pieces(df: DataFrame, tokenizer_path: str, pattern: str, end_id: int, window: int,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: full windows of long documents and every document's rest."""
+    bounded_batches(df.sparkSession)
     schema = arrow_schema(PIECES)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, slices
+from .common import arrow_schema, bounded_batches, slices
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
@@ -79,8 +79,9 @@ def encode_texts(df: DataFrame, model_path: str, id_col: str = "doc_id", text_co
 
 
 def encode_digests(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-                   slice_chars: int = 2_000_000) -> DataFrame:
+                   slice_chars: int = 1_000_000) -> DataFrame:
     """Digest columns of ``encode_texts`` without moving ids and texts back to the JVM."""
+    bounded_batches(df.sparkSession)
     schema = arrow_schema(DIGEST)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,12 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
-from .common import arrow_schema, mix64, slices, table, text_bytes
+from .common import arrow_schema, bounded_batches, mix64, slices, table, text_bytes
 
 ORDER = 4
 HASH_BITS = 22
 START, END = 0, 1              # symbols before and after a text
-SLICE_CHARS = 1_500_000
+SLICE_CHARS = 500_000
+MAX_BROADCAST_BANDS = 100_000  # languages; with more the bands are joined by a shuffle
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -239,6 +240,7 @@ class SortedHashModel:
 
 def train_model(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> SortedHashModel:
     """Count every text of ``docs``, and bring the slot arrays (bounded by HASH_BITS) together."""
+    bounded_batches(docs.sparkSession)
     grams, contexts = kneser_ney(count_ngrams(docs, lang_col, text_col))
 
     def arrays(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -313,6 +315,9 @@ def bands(scores: DataFrame, spread: float = 3.0, settled: int = 10_000) -> Data
 def with_verdict(scores: DataFrame, limits: DataFrame, settled: int = 10_000) -> DataFrame:
     """Add the band at the row's length (low, high; null without one) and ``kept``."""
     unit = F.sqrt(1 / F.greatest("n_symbols_scored", F.lit(1)) + 1 / F.lit(settled))
+    limits = stage(limits, "quality-bands")
+    if limits.count() <= MAX_BROADCAST_BANDS:
+        limits = F.broadcast(limits)
     banded = (scores.join(limits, F.col("lang").eqNullSafe(F.col("band_lang")), "left")
               .withColumns({"low": F.col("middle") + F.col("below") * unit, "high": F.col("middle") + F.col("above") * unit})
               .drop("band_lang", "middle", "below", "above"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
-from .common import id_remainder, table
+from .common import bounded_batches, id_remainder, table
 
 ORDERS = (3, 4, 5)
 HASH_BITS = 20
@@ -133,6 +133,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
           label_col: str = "toxic", sample_per_class: int = SAMPLE_PER_CLASS, max_features: int = MAX_FEATURES,
           smoothing: float = 1.0, l2: float = 1e-3) -> NaiveBayesLinear:
     """Fit the classifier on a bounded sample of ``labels`` (id, 0/1) joined with their texts."""
+    bounded_batches(documents.sparkSession)
     given = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
              .groupBy(F.col(id_col).alias("_id")).agg((F.max(F.col(label_col).cast("int")) > 0).cast("int").alias("_y")))
     given = stage(given.withColumn("_h", F.xxhash64("_id")), "toxic-labels")
