@@ -2,7 +2,9 @@
 
 ``run`` applies them to ``documents`` in turn; every stage's result is
 written as Parquet under the checkpoint folder and read again as the next
-stage's documents. All but the last return the columns of documents.
+stage's documents. All but the last return the columns of documents. A stage
+begins by dropping what earlier stages staged, so their results must have been
+written by then.
 """
 
 from __future__ import annotations
@@ -14,26 +16,30 @@ from scorewatch.llm.jaccard import keep_one
 from scorewatch.llm.packing import pack_documents
 from scorewatch.llm.quality import keep_good
 from scorewatch.llm.toxicity import drop_toxic
-from scorewatch.plans.staging import stage
+from scorewatch.plans.staging import drop_staged, stage
 
 
 def toxicity(spark, docs, sf_dir):
     """Drop documents that the classifier calls toxic."""
+    drop_staged(spark)
     return drop_toxic(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
 
 
 def quality_rules(spark, docs, sf_dir):
     """Drop documents that fail the base rules or lie outside their language's perplexity band."""
+    drop_staged(spark)
     return keep_good(docs)
 
 
 def near_duplicates(spark, docs, sf_dir):
     """Keep one document of each group linked by five-word shingles at Jaccard similarity 0.8 or more."""
+    drop_staged(spark)
     return keep_one(docs, width=5, num=80, den=100)
 
 
 def packing(spark, docs, sf_dir):
     """Pack the remaining documents' tokens into windows of 2048."""
+    drop_staged(spark)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
@@ -47,5 +53,5 @@ def run(spark, sf_dir):
     """The last stage's rows for the documents of ``sf_dir``."""
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return docs
