@@ -52,7 +52,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
-from .common import arrow_schema, bounded_batches, mix64, slices, table, text_bytes, word_hashes
+from .common import arrow_schema, bounded_batches, mix64, release_memory, slices, table, text_bytes, word_hashes
 from .graph import components
 
 GROUPS = 64                 # coordinates of a point
@@ -161,6 +161,7 @@ def sets_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[a:b], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([signature(s) for s in sets], pa.int64()), pa.array(points, pa.binary())], schema=schema)
+        release_memory()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(run, SETS)
 
@@ -202,6 +203,7 @@ def key_rows(docs: DataFrame, text_col: str, width: int, num: int, den: int, fre
                         keys.append(routing.keys(elements))
                         sigs.append(np.full(len(keys[-1]), sig))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(sigs))], ["key", "sig"])
+        release_memory()
 
     return docs.where(F.col(text_col).isNotNull()).select(text_col).mapInArrow(run, "key long, sig long")
 

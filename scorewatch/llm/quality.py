@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
-from .common import arrow_schema, bounded_batches, mix64, slices, table, text_bytes
+from .common import arrow_schema, bounded_batches, mix64, release_memory, slices, table, text_bytes
 
 ORDER = 4
 HASH_BITS = 22
@@ -134,6 +134,7 @@ def count_ngrams(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
             if sum(len(p[0]) for parts in held.values() for p in parts) > 4_000_000:     # bounds a task's memory
                 yield from flush(held)
         yield from flush(held)
+        release_memory()
 
     return (docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
             .mapInArrow(run, "lang string, gram long, count long")
@@ -288,6 +289,7 @@ def quality_column(spark, model: SortedHashModel, lang_col: str = "lang", text_c
                     perplexity[i] = None if np.isnan(lp) else -lp / length[i]
         failed = [n < 10 or 100 * r > 20 * n for n, _, _, _, r in base]
         columns = [pa.array([b[k] for b in base], pa.int64()) for k in range(5)]
+        release_memory()
         return pa.StructArray.from_arrays([*columns, pa.array(failed, pa.bool_()), pa.array(length, pa.int64()),
                                            pa.array(perplexity, pa.float64())], [f.split()[0] for f in SCORES.split(", ")])
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
-from .common import bounded_batches, id_remainder, table
+from .common import bounded_batches, id_remainder, release_memory, table
 
 ORDERS = (3, 4, 5)
 HASH_BITS = 20
@@ -194,7 +194,9 @@ def toxicity_score(spark, model: NaiveBayesLinear, text_col: str = "text"):
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
-        return pa.array([held.value.score(t.as_py() or "") for t in text], pa.float64())
+        scores = pa.array([held.value.score(t.as_py() or "") for t in text], pa.float64())
+        release_memory()
+        return scores
 
     return score(text_col)
 
