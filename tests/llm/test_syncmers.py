@@ -28,7 +28,7 @@ def plain_anchors(text, k=K_WORDS, s=S_WORDS):
         return []
     found = []
     for i in range(len(h) - k + 1):
-        inner = [chained(h[j:j + s]) for j in range(i, i + k - s + 1)]
+        inner = [chained(h[j:j + s]) if s > 1 else h[j] for j in range(i, i + k - s + 1)]
         if min(inner) in (inner[0], inner[-1]):
             found.append(chained(h[i:i + k]))
     return found or [chained(h)]
