@@ -8,7 +8,6 @@ operators/  DataFrame -> DataFrame building blocks (picks, Gini, cut points,
             ledgers, audits)
 plans/      skew-safe multi-stage plans (two-level prefix sums, chunked lead)
             and the report queries built from the operators
-streaming/  nothing to do: every report is a monthly batch job
 """
 
 __all__ = ["session"]

@@ -29,13 +29,6 @@ def pick_first(df: DataFrame, keys: list[str], order: list, columns: list[str] |
     return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in columns])
 
 
-def pick_last(df: DataFrame, keys: list[str], order: list, columns: list[str] | None = None) -> DataFrame:
-    """One row per ``keys``: the row with the largest ``order`` tuple (F8)."""
-    columns = [c for c in (columns or df.columns) if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(_struct(columns), _struct(order)).alias("_row"))
-    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in columns])
-
-
 def first_non_null(df: DataFrame, keys: list[str], value: str, order: list, out: str | None = None) -> DataFrame:
     """First non-null ``value`` per key in ``order`` (pandas ``first``)."""
     return (df.where(F.col(value).isNotNull())

@@ -28,11 +28,6 @@ class TableSet:
             self._frames[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
         return self._frames[name]
 
-    def register_views(self, names=BASE_TABLES) -> None:
-        """Make the tables visible to ``spark.sql`` under their names."""
-        for n in names:
-            self[n].createOrReplaceTempView(n)
-
 
 def scan(spark: SparkSession, path: str, columns: dict[str, str] | None = None,
          where=None) -> DataFrame:
