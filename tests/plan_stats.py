@@ -1,11 +1,11 @@
 """Per-query physical-plan summary (run: python tests/plan_stats.py <sf_dir>)."""
 import sys, re; sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
 from scorewatch.session import build_session
-from __spark_entry__ import queries
+from scorewatch.registry import QUERIES
 spark = build_session("local[8]", 16); spark.sparkContext.setLogLevel("ERROR")
 print("| query | scans | exchanges | broadcast joins | sort-merge joins | sort aggregates | hash aggregates | windows | window group limits | Python / cartesian / nested loop |")
 print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-for q, fn in queries().items():
+for q, fn in QUERIES.items():
     df = fn(spark, sys.argv[1])
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
