@@ -296,6 +296,14 @@ def quality_column(spark, model: SortedHashModel, lang_col: str = "lang", text_c
     return score(lang_col, text_col)
 
 
+def _quantiles(rows: DataFrame, keys: list[str], value, probs: list[float], name: str) -> DataFrame:
+    """Exact quantiles of ``value`` to four decimals: counted per distinct value first, so they do
+    not depend on the order in which tasks end."""
+    counted = rows.groupBy(*keys, F.round(value, 4).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    listed = ", ".join(str(p) for p in probs)
+    return counted.groupBy(*keys).agg(F.expr(f"percentile(_v, array({listed}), _n)").alias(name))
+
+
 def bands(scores: DataFrame, spread: float = 3.0, settled: int = 10_000) -> DataFrame:
     """(band_lang, middle, below, above) per language, over rows that pass the base rules.
 
@@ -305,11 +313,11 @@ def bands(scores: DataFrame, spread: float = 3.0, settled: int = 10_000) -> Data
     lie ``spread`` interquartile ranges outside the quartiles of that distance.
     """
     good = scores.where("NOT base_failed AND log10_perplexity IS NOT NULL")
-    middle = good.groupBy(F.col("lang").alias("_ml")).agg(F.percentile_approx("log10_perplexity", 0.5, 10_000).alias("middle"))
+    middle = _quantiles(good, ["lang"], F.col("log10_perplexity"), [0.5], "m").select(F.col("lang").alias("_ml"), F.col("m")[0].alias("middle"))
     unit = F.sqrt(1 / F.col("n_symbols_scored") + 1 / F.lit(settled))
-    q = (good.join(middle, F.col("lang").eqNullSafe(F.col("_ml")))
-         .groupBy(F.col("lang").alias("band_lang"), "middle")
-         .agg(F.percentile_approx((F.col("log10_perplexity") - F.col("middle")) / unit, [0.25, 0.75], 10_000).alias("q")))
+    apart = (F.col("log10_perplexity") - F.col("middle")) / unit
+    q = _quantiles(good.join(middle, F.col("lang").eqNullSafe(F.col("_ml"))), ["lang", "middle"], apart, [0.25, 0.75], "q") \
+        .withColumnRenamed("lang", "band_lang")
     iqr = F.col("q")[1] - F.col("q")[0]
     return q.select("band_lang", "middle", (F.col("q")[0] - spread * iqr).alias("below"), (F.col("q")[1] + spread * iqr).alias("above"))
 
