@@ -7,6 +7,14 @@ character n-grams (order 4) and rejects texts whose perplexity lies outside
 the language's band: between a lower and an upper fence, set by the quartiles
 over all its documents that pass the base rules (see ``bands``).
 
+Scores are out of sample. Texts fall into FOLDS folds by the smallest hash of
+their 5-word windows, so exact copies share a fold and near copies mostly do;
+a text is scored by the model counted over the other folds' texts that pass
+the base rules. Neither its own n-grams nor copies nor base-failed junk make
+it look predictable. A text that repeats itself is judged by its own
+n-grams: where these alone (``own_log10``) predict it below the lower fence,
+and twice as well as the language does, that is its perplexity.
+
 Counting: each task counts the 4-grams of its texts (packed into 64 bits, 16
 per character), Spark adds the counts up per language and derives
 continuation counts, discounts, back-off weights and probabilities with
@@ -21,14 +29,17 @@ their probabilities, weighted by count.
 Defined cases: a null text is empty (no words, so the base rules reject it)
 and has null perplexity; a null language is a language of its own; a
 language without documents that pass the base rules has no band and rejects
-nothing; null and repeated ids are kept, one row each; an empty table gives
+nothing, and a text whose language has none in the other folds has null
+perplexity and is judged by the base rules alone; null and repeated ids are kept, one row each; an empty table gives
 an empty result; ``keep_good`` keeps all other columns whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
+from math import lgamma
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +51,7 @@ from .common import arrow_schema, bounded_batches, mix64, release_memory, slices
 
 ORDER = 4
 HASH_BITS = 22
+FOLDS = 5
 START, END = 0, 1              # symbols before and after a text
 SLICE_CHARS = 500_000
 MAX_BROADCAST_BANDS = 100_000  # languages; with more the bands are joined by a shuffle
@@ -50,6 +62,14 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 
 # ---- base rules ---------------------------------------------------------------------------------------------------
 
+def windows(h: np.ndarray) -> np.ndarray:
+    """A hash of each run of five word hashes."""
+    w = h[:-4].copy()
+    for k in range(1, 5):
+        w = mix64(w) + h[k:len(h) - 4 + k]
+    return w
+
+
 def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a UTF-8 text."""
     words = text.split()                       # ASCII white space, the word rule's breaks
@@ -60,10 +80,7 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
     lines = [line for line in text.split(b"\n") if line.split(None, 1)]
     repeats = 0
     if n >= 5:
-        h = np.fromiter(map(hash, words), np.int64, n).view(np.uint64)
-        w = h[:-4].copy()
-        for k in range(1, 5):
-            w = mix64(w) + h[k:n - 4 + k]
+        w = windows(np.fromiter(map(hash, words), np.int64, n).view(np.uint64))
         s = np.sort(w)
         twice = s[1:][s[1:] == s[:-1]]
         if twice.size:
@@ -75,6 +92,23 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
     return n, word_chars, symbols, len(lines) - len(set(lines)), repeats
 
 
+def base_fails(counts: tuple[int, int, int, int, int]) -> bool:
+    return counts[0] < 10 or 100 * counts[4] > 20 * counts[0]
+
+
+def fold_of(text: bytes) -> int:
+    """Below FOLDS, by the smallest hash of the text's 5-word windows (of all words if it has fewer)."""
+    words = text.split()
+    h = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+    w = windows(h) if len(h) >= 5 else h
+    return int(mix64(w.min(keepdims=True))[0] % np.uint64(FOLDS)) if len(w) else 0
+
+
+def fold_key(lang: str | None, fold: int) -> str:
+    """Name of the model that scores the texts of one fold of a language."""
+    return f"{fold}-" if lang is None else f"{fold}+{lang}"
+
+
 # ---- n-grams ------------------------------------------------------------------------------------------------------
 
 def symbols_of(text: str) -> np.ndarray:
@@ -104,8 +138,11 @@ def slot_of(grams: np.ndarray, n: int, seed: np.uint64) -> np.ndarray:
         return (mix64(grams ^ (seed + np.uint64(n))) >> np.uint64(64 - HASH_BITS)).astype(np.uint32)
 
 
-def count_ngrams(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
-    """(lang, gram, count) of all ORDER-grams; each task adds up its own first."""
+def count_ngrams(docs: DataFrame, lang_col: str, text_col: str, crossed: bool = False) -> DataFrame:
+    """(lang, gram, count) of all ORDER-grams; each task adds up its own first.
+
+    ``crossed``: only texts that pass the base rules, under the ``fold_key`` of every other fold.
+    """
     schema = arrow_schema("lang string, gram long, count long")
 
     def flush(held: dict) -> Iterator[pa.RecordBatch]:
@@ -124,6 +161,10 @@ def count_ngrams(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
         held: dict = {}
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            if crossed:
+                raw = text_bytes(batch.column(1))
+                texts = [None if base_fails(base_counts(b)) else t for b, t in zip(raw, texts, strict=True)]
+                langs = [x if t is None else fold_key(x, fold_of(b)) for x, b, t in zip(langs, raw, texts, strict=True)]
             for lang in set(langs):
                 own = [t for x, t in zip(langs, texts, strict=True) if x == lang and t]
                 for a, b in slices([len(t) for t in own], SLICE_CHARS):
@@ -136,9 +177,14 @@ def count_ngrams(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
         yield from flush(held)
         release_memory()
 
-    return (docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "lang string, gram long, count long")
-            .groupBy("lang", "gram").agg(F.sum("count").alias("count")))
+    counts = (docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+              .mapInArrow(run, "lang string, gram long, count long")
+              .groupBy("lang", "gram").agg(F.sum("count").alias("count")))
+    if not crossed:
+        return counts
+    others = F.array(*[F.lit(str(k)) for k in range(FOLDS)])         # a key begins with its fold's digit
+    return (counts.withColumn("_fold", F.explode(F.filter(others, lambda k: k != F.substring("lang", 1, 1))))
+            .groupBy(F.concat("_fold", F.expr("substring(lang, 2)")).alias("lang"), "gram").agg(F.sum("count").alias("count")))
 
 
 # ---- modified Kneser-Ney ------------------------------------------------------------------------------------------
@@ -170,7 +216,7 @@ def kneser_ney(counts: DataFrame) -> tuple[dict[int, DataFrame], dict[int, DataF
         own = levels[n]
         of = own.groupBy(F.col("lang").alias("_l")).agg(
             F.count(F.lit(1)).alias("types"), *[F.count(F.when(F.col("count") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)])
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+        y = F.try_divide("n1", F.col("n1") + 2 * F.col("n2"))
         discounts = {}
         for k in (1, 2, 3):       # half a count where the counts of counts give no usable discount
             d = F.try_subtract(F.lit(float(k)), F.try_divide((k + 1) * y * F.col(f"n{k + 1}"), F.col(f"n{k}")))
@@ -239,10 +285,31 @@ class SortedHashModel:
         return np.add.reduceat(total, np.concatenate(([0], ends[:-1]))).tolist()
 
 
-def train_model(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> SortedHashModel:
-    """Count every text of ``docs``, and bring the slot arrays (bounded by HASH_BITS) together."""
+def own_log10(symbols: np.ndarray) -> float:
+    """Log10 probability of a text by its own earlier n-grams alone.
+
+    After each context the next symbol has the share it had there so far, and one unit is spread over all
+    16-bit symbols. The product over the text depends on the counts only, not on their order.
+    """
+    g = ngrams(symbols, ORDER)
+    g, c = np.unique(g, return_counts=True)
+    at = np.flatnonzero(np.concatenate(([True], g[1:] >> np.uint64(16) != g[:-1] >> np.uint64(16))))
+    return float((_log_rising(2.0 ** -16, c).sum() - _log_rising(1.0, np.add.reduceat(c, at)).sum()) / np.log(10))
+
+
+def _log_rising(a: float, n: np.ndarray) -> np.ndarray:
+    """log(a (a + 1) ... (a + n - 1)) for n of at least 1."""
+    x = a + n
+    shifted = x + 7                     # Stirling's series, exact to 1e-9 from 7 on
+    log_gamma = ((shifted - 0.5) * np.log(shifted) - shifted + 0.5 * np.log(2 * np.pi) + 1 / (12 * shifted) - 1 / (360 * shifted ** 3)
+                 - np.log(x * (x + 1) * (x + 2) * (x + 3)) - np.log((x + 4) * (x + 5) * (x + 6)))
+    return log_gamma - lgamma(a)
+
+
+def train_model(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", crossed: bool = False) -> SortedHashModel:
+    """Count every text of ``docs`` (``crossed``: see ``count_ngrams``), and bring the slot arrays (bounded by HASH_BITS) together."""
     bounded_batches(docs.sparkSession)
-    grams, contexts = kneser_ney(count_ngrams(docs, lang_col, text_col))
+    grams, contexts = kneser_ney(count_ngrams(docs, lang_col, text_col, crossed))
 
     def arrays(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
         @F.arrow_udf("long")
@@ -265,11 +332,11 @@ def train_model(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
 # ---- scores and verdicts ------------------------------------------------------------------------------------------
 
 SCORES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-          "base_failed boolean, n_symbols_scored long, log10_perplexity double")
+          "base_failed boolean, n_symbols_scored long, log10_perplexity double, own_log10 double")
 
 
 def quality_column(spark, model: SortedHashModel, lang_col: str = "lang", text_col: str = "text"):
-    """Struct column of SCORES for every row."""
+    """Struct column of SCORES for every row; ``model`` is a crossed one."""
     held = spark.sparkContext.broadcast(model)
     ddl = "struct<" + ",".join(f"{n}:{t}" for n, t in (f.split() for f in SCORES.replace("long", "bigint").split(", "))) + ">"
 
@@ -278,20 +345,23 @@ def quality_column(spark, model: SortedHashModel, lang_col: str = "lang", text_c
         langs, raw = lang.to_pylist(), text_bytes(text)
         base = [base_counts(t) for t in raw]
         perplexity: list[float | None] = [None] * len(raw)
+        alone: list[float | None] = [None] * len(raw)
         length = [0] * len(raw)
-        for x in set(langs):
-            own = [i for i, y in enumerate(langs) if y == x and raw[i]]
+        keys = [fold_key(x, fold_of(t)) for x, t in zip(langs, raw, strict=True)]
+        for x in set(keys):
+            own = [i for i, y in enumerate(keys) if y == x and raw[i]]
             for a, b in slices([len(raw[i]) for i in own], SLICE_CHARS):
                 run = own[a:b]
                 symbols = [symbols_of(raw[i].decode()) for i in run]
                 for i, s, lp in zip(run, symbols, held.value.log10(x, symbols), strict=True):
                     length[i] = len(s) - ORDER + 1
                     perplexity[i] = None if np.isnan(lp) else -lp / length[i]
-        failed = [n < 10 or 100 * r > 20 * n for n, _, _, _, r in base]
+                    alone[i] = -own_log10(s) / length[i]
+        failed = [base_fails(b) for b in base]
         columns = [pa.array([b[k] for b in base], pa.int64()) for k in range(5)]
         release_memory()
         return pa.StructArray.from_arrays([*columns, pa.array(failed, pa.bool_()), pa.array(length, pa.int64()),
-                                           pa.array(perplexity, pa.float64())], [f.split()[0] for f in SCORES.split(", ")])
+                                           pa.array(perplexity, pa.float64()), pa.array(alone, pa.float64())], [f.split()[0] for f in SCORES.split(", ")])
 
     return score(lang_col, text_col)
 
@@ -304,7 +374,7 @@ def _quantiles(rows: DataFrame, keys: list[str], value, probs: list[float], name
     return counted.groupBy(*keys).agg(F.expr(f"percentile(_v, array({listed}), _n)").alias(name))
 
 
-def bands(scores: DataFrame, spread: float = 3.0, settled: int = 10_000) -> DataFrame:
+def bands(scores: DataFrame, spread: float = 2.0, settled: int = 10_000) -> DataFrame:
     """(band_lang, middle, below, above) per language, over rows that pass the base rules.
 
     A text's log perplexity is a mean over its n symbols, so its distance from
@@ -323,21 +393,24 @@ def bands(scores: DataFrame, spread: float = 3.0, settled: int = 10_000) -> Data
 
 
 def with_verdict(scores: DataFrame, limits: DataFrame, settled: int = 10_000) -> DataFrame:
-    """Add the band at the row's length (low, high; null without one) and ``kept``."""
+    """Add the band at the row's length (low, high; null without one) and ``kept``; a text that repeats
+    itself gets ``own_log10`` as its perplexity."""
     unit = F.sqrt(1 / F.greatest("n_symbols_scored", F.lit(1)) + 1 / F.lit(settled))
     limits = stage(limits, "quality-bands")
     if limits.count() <= MAX_BROADCAST_BANDS:
         limits = F.broadcast(limits)
     banded = (scores.join(limits, F.col("lang").eqNullSafe(F.col("band_lang")), "left")
               .withColumns({"low": F.col("middle") + F.col("below") * unit, "high": F.col("middle") + F.col("above") * unit})
-              .drop("band_lang", "middle", "below", "above"))
+              .withColumn("log10_perplexity", F.when((F.col("own_log10") < F.col("low")) & (2 * F.col("own_log10") < F.col("log10_perplexity")),
+                                                     F.col("own_log10")).otherwise(F.col("log10_perplexity")))
+              .drop("band_lang", "middle", "below", "above", "own_log10"))
     inside = F.col("log10_perplexity").between(F.col("low"), F.col("high"))
     return banded.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
 
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """id, lang, SCORES, low, high, kept for every row of ``docs``."""
-    model = train_model(docs, lang_col, text_col)
+    model = train_model(docs, lang_col, text_col, crossed=True)
     scores = stage(docs.select(id_col, F.col(lang_col).alias("lang"), quality_column(docs.sparkSession, model, lang_col, text_col).alias("_q"))
                    .select(id_col, "lang", "_q.*"), "quality-scores")
     return with_verdict(scores, bands(scores))
@@ -345,7 +418,7 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "l
 
 def keep_good(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that both kinds of rules keep, with all their columns."""
-    model = train_model(docs, lang_col, text_col)
+    model = train_model(docs, lang_col, text_col, crossed=True)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     scored = stage(docs.select(whole, F.col(lang_col).alias("lang"), quality_column(docs.sparkSession, model, lang_col, text_col).alias("_q"))
                    .select("_row", "lang", "_q.*"), "quality-rows")
