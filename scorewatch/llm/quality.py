@@ -19,12 +19,11 @@ Counting: each task counts the 4-grams of its texts (packed into 64 bits, 16
 per character), Spark adds the counts up per language and derives
 continuation counts, discounts, back-off weights and probabilities with
 joins and aggregates, for all languages at once. Characters rather than
-words keep the number of n-grams far below the number of words. The model is
-stored as arrays of probabilities sorted by a hash of (language, n-gram) and
-found by binary search. The hash space has 2**HASH_BITS slots per order,
-which bounds the arrays that are broadcast whatever the corpus (at most
-2**22 * 16 bytes per order); n-grams that share a slot share the mean of
-their probabilities, weighted by count.
+words keep the number of n-grams far below the number of words. The model
+holds, per language, fold and order, the packed n-grams themselves in sorted
+arrays with their probabilities, found by binary search: an n-gram is found
+if and only if it was counted, whatever the corpus. The arrays take 12 bytes
+for each distinct n-gram and grow with the n-grams counted.
 
 Defined cases: a null text is empty (no words, so the base rules reject it)
 and has null perplexity; a null language is a language of its own; a
@@ -36,7 +35,6 @@ an empty result; ``keep_good`` keeps all other columns whatever their names.
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Iterator
 from math import lgamma
@@ -50,7 +48,6 @@ from ..plans.staging import stage
 from .common import arrow_schema, bounded_batches, mix64, release_memory, slices, table, text_bytes
 
 ORDER = 4
-HASH_BITS = 22
 FOLDS = 5
 START, END = 0, 1              # symbols before and after a text
 SLICE_CHARS = 500_000
@@ -129,15 +126,6 @@ def ngrams(symbols: np.ndarray, n: int) -> np.ndarray:
     return g
 
 
-def language_seed(lang: str | None) -> np.uint64:
-    return np.uint64(int.from_bytes(hashlib.blake2b(b"-" if lang is None else b"+" + lang.encode(), digest_size=8).digest(), "big"))
-
-
-def slot_of(grams: np.ndarray, n: int, seed: np.uint64) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return (mix64(grams ^ (seed + np.uint64(n))) >> np.uint64(64 - HASH_BITS)).astype(np.uint32)
-
-
 def count_ngrams(docs: DataFrame, lang_col: str, text_col: str, crossed: bool = False) -> DataFrame:
     """(lang, gram, count) of all ORDER-grams; each task adds up its own first.
 
@@ -199,8 +187,8 @@ def _same(a: str, b: str):
 
 
 def kneser_ney(counts: DataFrame) -> tuple[dict[int, DataFrame], dict[int, DataFrame]]:
-    """Grams (lang, gram, weight, value = log10 p) of orders 0..ORDER and contexts
-    (lang, gram, weight, value = log10 back-off weight) of orders 1..ORDER.
+    """Grams (lang, gram, value = log10 p) of orders 0..ORDER and contexts
+    (lang, gram, value = log10 back-off weight) of orders 1..ORDER.
 
     Interpolated: p(w | context) = (c - D(c)) / c(context) + backoff(context) * p(w | shorter context),
     down to a uniform share for each character and one unknown. Orders below the
@@ -228,43 +216,41 @@ def kneser_ney(counts: DataFrame) -> tuple[dict[int, DataFrame], dict[int, DataF
         heads = rows.groupBy(F.col("lang").alias("_cl"), F.col("_ctx").alias("_c")).agg(
             F.sum("count").alias("_total"), F.max("types").alias("_types"), (F.sum("_cut") / F.sum("count")).alias("_back"))
         heads = stage(heads, "kn-contexts")
-        contexts[n] = heads.select(F.col("_cl").alias("lang"), F.col("_c").alias("gram"), F.col("_total").alias("weight"),
-                                   F.log10("_back").alias("value"))
+        contexts[n] = heads.select(F.col("_cl").alias("lang"), F.col("_c").alias("gram"), F.log10("_back").alias("value"))
         if n == 1:
-            grams[0] = heads.select(F.col("_cl").alias("lang"), F.col("_c").alias("gram"), F.lit(1).cast("long").alias("weight"),
+            grams[0] = heads.select(F.col("_cl").alias("lang"), F.col("_c").alias("gram"),
                                     F.log10(1 / (F.col("_types") + 1)).alias("value"))
         shorter = grams[n - 1].select(F.col("lang").alias("_bl"), F.col("gram").alias("_b"), F.col("value").alias("_below"))
         p = (F.col("count") - F.col("_cut")) / F.col("_total") + F.col("_back") * F.pow(F.lit(10.0), F.col("_below"))
         grams[n] = stage(rows.join(heads, _same("lang", "_cl") & (F.col("_ctx") == F.col("_c")))
                          .withColumn("_suffix", _low("gram", n - 1))
                          .join(shorter, _same("lang", "_bl") & (F.col("_suffix") == F.col("_b")))
-                         .select("lang", "gram", F.col("count").alias("weight"), F.log10(p).alias("value")), "kn-grams")
+                         .select("lang", "gram", F.log10(p).alias("value")), "kn-grams")
     return grams, contexts
 
 
-class SortedHashModel:
-    """Sorted slot arrays with a value each: grams of orders 0..ORDER, contexts of orders 1..ORDER."""
+class SortedGramModel:
+    """By order and language the sorted packed n-grams with a value each: grams of orders 0..ORDER, contexts of orders 1..ORDER."""
 
-    def __init__(self, grams: dict[int, tuple], contexts: dict[int, tuple]):
+    def __init__(self, grams: dict[int, dict], contexts: dict[int, dict]):
         self.grams, self.contexts = grams, contexts
 
     @staticmethod
-    def _find(held: tuple, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys, values = held
-        if not len(keys):
-            return np.zeros(len(slots), bool), np.zeros(len(slots), np.float32)
-        at = np.minimum(np.searchsorted(keys, slots), len(keys) - 1)
-        return keys[at] == slots, values[at]
+    def _find(held: dict, lang: str | None, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if lang not in held:
+            return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.float32)
+        keys, values = held[lang]
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return keys[at] == wanted, values[at]
 
     def log10(self, lang: str | None, symbols: list[np.ndarray]) -> list[float]:
         """Log10 probability of each text (symbol arrays); NaN if the language has no model."""
-        seed = language_seed(lang)
-        known, uniform = self._find(self.grams[0], slot_of(np.zeros(1, np.uint64), 0, seed))
+        known, uniform = self._find(self.grams[0], lang, np.zeros(1, np.uint64))
         if not known[0]:
             return [float("nan")] * len(symbols)
         ends = np.cumsum([len(s) - ORDER + 1 for s in symbols])
-        grams = np.concatenate([ngrams(s, ORDER) for s in symbols])
-        found, value = self._find(self.grams[ORDER], slot_of(grams, ORDER, seed))
+        grams, place = np.unique(np.concatenate([ngrams(s, ORDER) for s in symbols]), return_inverse=True)
+        found, value = self._find(self.grams[ORDER], lang, grams)
         total = value.astype(float)
         left = np.flatnonzero(~found)                      # only n-grams that the model has not seen
         total[left] = 0
@@ -273,16 +259,16 @@ class SortedHashModel:
             if not left.size:
                 break
             context = grams >> np.uint64(16) if n > 1 else np.zeros(len(grams), np.uint64)
-            held, back = self._find(self.contexts[n], slot_of(context, n + ORDER, seed))
+            held, back = self._find(self.contexts[n], lang, context)
             total[left] += np.where(held, back, 0)
             if n == 1:
                 total[left] += uniform[0]
                 break
             grams = grams & np.uint64((1 << (16 * (n - 1))) - 1)
-            found, value = self._find(self.grams[n - 1], slot_of(grams, n - 1, seed))
+            found, value = self._find(self.grams[n - 1], lang, grams)
             total[left[found]] += value[found]
             left, grams = left[~found], grams[~found]
-        return np.add.reduceat(total, np.concatenate(([0], ends[:-1]))).tolist()
+        return np.add.reduceat(total[place], np.concatenate(([0], ends[:-1]))).tolist()
 
 
 def own_log10(symbols: np.ndarray) -> float:
@@ -306,27 +292,23 @@ def _log_rising(a: float, n: np.ndarray) -> np.ndarray:
     return log_gamma - lgamma(a)
 
 
-def train_model(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", crossed: bool = False) -> SortedHashModel:
-    """Count every text of ``docs`` (``crossed``: see ``count_ngrams``), and bring the slot arrays (bounded by HASH_BITS) together."""
+def train_model(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", crossed: bool = False) -> SortedGramModel:
+    """Count every text of ``docs`` (``crossed``: see ``count_ngrams``), and bring the sorted arrays together."""
     bounded_batches(docs.sparkSession)
     grams, contexts = kneser_ney(count_ngrams(docs, lang_col, text_col, crossed))
 
-    def arrays(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-        @F.arrow_udf("long")
-        def slot(lang: pa.Array, gram: pa.Array) -> pa.Array:
-            langs, keys = lang.to_pylist(), gram.to_numpy(zero_copy_only=False).view(np.uint64)
-            out = np.zeros(len(keys), np.int64)
-            for x in set(langs):
-                own = np.array([y == x for y in langs])
-                out[own] = slot_of(keys[own], n, language_seed(x))
-            return pa.array(out)
-
-        w = F.col("weight").cast("double")
-        held = (rows.select(slot("lang", "gram").alias("slot"), w.alias("w"), (w * F.col("value")).alias("wv"))
-                .groupBy("slot").agg((F.sum("wv") / F.sum("w")).cast("float").alias("value")).toArrow().sort_by("slot"))
-        return held.column("slot").to_numpy().astype(np.uint32), held.column("value").to_numpy().astype(np.float32)
+    def arrays(rows: DataFrame) -> dict[str | None, tuple[np.ndarray, np.ndarray]]:
+        held = rows.select("lang", "gram", F.col("value").cast("float")).toArrow()
+        if not held.num_rows:
+            return {}
+        lang = held.column("lang").combine_chunks().dictionary_encode(null_encoding="encode")
+        code = lang.indices.to_numpy()
+        keys, values = held.column("gram").to_numpy().view(np.uint64), held.column("value").to_numpy()
+        order = np.lexsort((keys, code))
+        cut = np.searchsorted(code[order], np.arange(len(lang.dictionary) + 1))
+        return {x: (keys[order[a:b]], values[order[a:b]]) for x, a, b in zip(lang.dictionary.to_pylist(), cut, cut[1:])}
 
-    return SortedHashModel({n: arrays(d, n) for n, d in grams.items()}, {n: arrays(d, n + ORDER) for n, d in contexts.items()})
+    return SortedGramModel({n: arrays(d) for n, d in grams.items()}, {n: arrays(d) for n, d in contexts.items()})
 
 
 # ---- scores and verdicts ------------------------------------------------------------------------------------------
@@ -335,7 +317,7 @@ SCORES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
           "base_failed boolean, n_symbols_scored long, log10_perplexity double, own_log10 double")
 
 
-def quality_column(spark, model: SortedHashModel, lang_col: str = "lang", text_col: str = "text"):
+def quality_column(spark, model: SortedGramModel, lang_col: str = "lang", text_col: str = "text"):
     """Struct column of SCORES for every row; ``model`` is a crossed one."""
     held = spark.sparkContext.broadcast(model)
     ddl = "struct<" + ",".join(f"{n}:{t}" for n, t in (f.split() for f in SCORES.replace("long", "bigint").split(", "))) + ">"

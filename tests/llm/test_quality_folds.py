@@ -1,6 +1,11 @@
+import math
+
 import numpy as np
+import pytest
+
+from scorewatch.llm.quality import ORDER, quality_verdicts, symbols_of, train_model
 
-from scorewatch.llm.quality import quality_verdicts
+from .test_quality import plain_kneser_ney
 
 WORDS = ["the", "house", "of", "river", "stone", "green", "and", "walks", "under", "light"]
 
@@ -30,3 +35,14 @@ def test_base_failed_texts_are_not_counted(spark):
     alone, both = verdicts(spark, clean), verdicts(spark, clean + junk)
     assert all(both[i].base_failed for i in range(80, 101))
     assert all(abs(alone[i].log10_perplexity - both[i].log10_perplexity) < 1e-6 for i in range(80))
+
+
+def test_unseen_ngrams_back_off_however_many_were_counted(spark):
+    """Half a million distinct 4-grams: scores of new text equal the definition, no n-gram passes for another."""
+    rng = np.random.default_rng(4)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x4E00 + 3000, 5_000))) for _ in range(100)] + ["abcdefghij"]
+    model = train_model(spark.createDataFrame([("zh", t) for t in texts], "lang string, text string"))
+    p = plain_kneser_ney(texts)
+    s = symbols_of("".join(map(chr, rng.integers(0x4E00, 0x4E00 + 3000, 5_000))))
+    want = sum(math.log10(p(tuple(s.tolist()[i:i + ORDER]))) for i in range(len(s) - ORDER + 1))
+    assert model.log10("zh", [s])[0] == pytest.approx(want, rel=1e-4)
