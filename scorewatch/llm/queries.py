@@ -11,8 +11,9 @@ from .sharding import op7_feistel_sharding
 from .syncmers import op10_closed_syncmers
 from .toxicity import op3_nb_toxicity
 from .urls import op5_link_trust
+from .vectors import OP11_SQL, op11_gnat_codes
 from .warc import OP6_SQL, op6_merkle_fixity
 
 QUERIES = {f.__name__: f for f in (op1_perplexity_rules, op2_count_tree_join, op3_nb_toxicity, op4_hmm_scores, op5_link_trust, op6_merkle_fixity, op7_feistel_sharding, op8_best_fit_packing,
-                                   op9_piece_codec, op10_closed_syncmers)}
-ORACLE_SQL: dict[str, str] = {op2_count_tree_join.__name__: OP2_SQL, op6_merkle_fixity.__name__: OP6_SQL}
+                                   op9_piece_codec, op10_closed_syncmers, op11_gnat_codes)}
+ORACLE_SQL: dict[str, str] = {op2_count_tree_join.__name__: OP2_SQL, op6_merkle_fixity.__name__: OP6_SQL, op11_gnat_codes.__name__: OP11_SQL}
