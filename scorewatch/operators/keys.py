@@ -37,10 +37,12 @@ def first_non_null(df: DataFrame, keys: list[str], value: str, order: list, out:
 
 def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """A lookup reduced to one row per key, so a join on the key cannot multiply rows: the smallest
-    row, a value before a null."""
+    row, a value before a null. A single value column takes a plain minimum, which Spark hashes."""
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
+    if len(rest) == 1:
+        return df.groupBy(*keys).agg(F.min(rest[0]).alias(rest[0]))
     return pick_first(df, keys, [x for c in rest for x in (F.col(c).isNull(), F.col(c))])
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.core import canonical_id, flag, month_label, safe_ratio, shift_months
 from ..functions.scorecard import income_number, points_segment, tenure_years, total_points
 from ..operators.keys import one_row_per_key, pick_first
-from .ordered import chunked_next
+from .ordered import carry_window
 from .params import Params
 
 UID = "user_id"
@@ -154,10 +154,10 @@ def switch_resignation(repayment_responses: DataFrame, vendors=("TPSD", "TPFP"),
     """
     r = (repayment_responses.where(F.col("vendor_id").isin(list(vendors)) & F.col("repaid_at").isNotNull()
                                    & F.col(UID).isNotNull())
-         .select(canonical_id(UID).alias(UID), "vendor_id", "repaid_at", F.date_trunc("hour", "repaid_at").alias("repaid_hour")))
+         .select(canonical_id(UID).alias(UID), "vendor_id", "repaid_at"))
     if users is not None:
         r = r.join(users.select(UID), UID, "left_semi")
-    nxt = chunked_next(r, [UID], ["repaid_hour"], ["repaid_at", "vendor_id"], "vendor_id", "next_vendor")
+    nxt = carry_window(r, [UID], ["repaid_at", "vendor_id"], nexts={"next_vendor": "vendor_id"})
     return (nxt.where((F.col("vendor_id") == vendors[0]) & (F.col("next_vendor") == vendors[1]))
             .groupBy(UID).agg(F.max(shift_months(F.to_date("repaid_at"), 1)).alias("resignation_date")))
 

@@ -2,9 +2,9 @@
 
 Repayment events are ordered per loan by (repaid date, installment,
 outstanding balance desc, paid amount desc), nulls last, and then by the
-caller's tie-break columns. Ordered work per loan is done by day and
-installment (``plans.ordered``): a loan with very many events is spread over
-these instead of being sorted in a single task.
+caller's tie-break columns. Ordered work per loan is a carry scan over ranges
+of that order (``plans.ordered``): a loan with very many events is spread over
+several ranges instead of being sorted in a single task.
 
 Events without a loan id belong to no sequence: they have no next event and
 no running balance. A null paid amount leaves its own row without a balance
@@ -19,12 +19,11 @@ from pyspark.sql import functions as F
 from ..functions.core import canonical_id, shift_months
 from ..functions.dates import as_date_text, normalise_date
 from ..operators.keys import duplicate_keys, one_row_per_key
-from .ordered import chunked_next, chunked_window
+from .ordered import carry_window
 from .params import Params
 
 CID = "ee_customer_id"
-CHUNKS = ["repaid_date", "installment_number"]
-REPAYMENT_ORDER = [("outstanding_balance", False), ("paid_amount", False)]      # inside a chunk
+REPAYMENT_ORDER = ["repaid_date", "installment_number", ("outstanding_balance", False), ("paid_amount", False)]
 SALARY_DEDUCTION, SELF_PAY = "TPSD", "TPFP"
 
 
@@ -64,15 +63,15 @@ def ordered_repayments(repayments: DataFrame, tie_break=()) -> DataFrame:
                              "outstanding_balance", "paid_amount", "paid_principal", *tie_break)
 
 
-def next_vendor(repayments: DataFrame, tie_break=()) -> DataFrame:
+def next_vendor(repayments: DataFrame, tie_break=(), columns: list[str] | None = None) -> DataFrame:
     """every event with a loan and the vendor of the loan's next event."""
     events = ordered_repayments(repayments, tie_break).where(F.col("loan_id").isNotNull())
-    return chunked_next(events, ["loan_id"], CHUNKS, [*REPAYMENT_ORDER, *tie_break], "vendor_id", "next_vendor")
+    return carry_window(events, ["loan_id"], [*REPAYMENT_ORDER, *tie_break], nexts={"next_vendor": "vendor_id"}, columns=columns)
 
 
 def switch_dates(repayments: DataFrame, tie_break=()) -> DataFrame:
     """Last salary-deduction -> self-pay switch per user, plus one month."""
-    r = next_vendor(repayments, tie_break)
+    r = next_vendor(repayments, tie_break, ["user_id", "vendor_id", "repaid_date"])
     switches = r.where((F.col("vendor_id") == SALARY_DEDUCTION) & (F.col("next_vendor") == SELF_PAY))
     return (switches.groupBy(F.col("user_id").alias(CID))
             .agg(F.max(shift_months("repaid_date", 1)).alias("switch_resignation_date")))
@@ -104,9 +103,9 @@ def balance_ledger(repayments: DataFrame, features: DataFrame, digits: int | Non
                             .where(F.col("loan_id").isNotNull()), ["loan_id"])
     events = ordered_repayments(repayments, tie_break)
     columns = ["user_id", "loan_id", "vendor_id", "repaid_date", "installment_number", "paid_principal"]
-    in_order = chunked_window(events.where(F.col("loan_id").isNotNull()), ["loan_id"], CHUNKS, [*REPAYMENT_ORDER, *tie_break],
-                              sums={"_so_far": "paid_principal"}, previous={"_previous": "paid_principal"})
-    rows = in_order.select(*columns, "_so_far", "_previous").unionByName(
+    in_order = carry_window(events.where(F.col("loan_id").isNotNull()), ["loan_id"], [*REPAYMENT_ORDER, *tie_break],
+                            sums={"_so_far": "paid_principal"}, previous={"_previous": "paid_principal"}, columns=columns)
+    rows = in_order.unionByName(
         events.where(F.col("loan_id").isNull()).select(*columns, F.lit(None).cast("double").alias("_so_far"),
                                                        F.lit(None).cast("double").alias("_previous")))
     r = rows.join(loans, "loan_id", "left")

@@ -4,7 +4,7 @@ import pytest
 
 from __spark_entry__ import queries
 from scorewatch.operators.keys import pick_first
-from scorewatch.plans.ordered import chunked_running_sum
+from scorewatch.plans.ordered import carry_window
 
 
 def _plan(df):
@@ -19,12 +19,12 @@ def test_pick_combines_map_side_before_the_shuffle(spark):
     assert plan.index("partial_min_by") > plan.index("Exchange")   # partial sits below (after, in text) the exchange
 
 
-def test_chunked_sum_partitions_by_key_and_chunk(spark):
+def test_ordered_work_joins_one_line_per_partition(spark):
     df = spark.createDataFrame([("a", 1, 1, 1.0)], "k string, day int, seq int, x double")
-    out = chunked_running_sum(df, ["k"], ["day"], ["seq"], "x", "c")
+    out = carry_window(df, ["k"], ["day", "seq"], sums={"c": "x"})
     out.collect()
     plan = _plan(out)
-    assert "hashpartitioning(_g#" in plan and plan.count("FileScan parquet [k#") >= 1
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
 
 
 def test_staged_tables_can_be_dropped(spark):
