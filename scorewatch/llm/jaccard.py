@@ -146,6 +146,7 @@ class Routing:
 
 
 SETS = "doc_id long, n long, sig long, point binary"
+USABLE = "n > 0 AND doc_id IS NOT NULL"
 
 
 def sets_table(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -362,7 +363,7 @@ def tree_pairs(members: DataFrame, centres: DataFrame, labels: DataFrame, num: i
 # ---- verification -------------------------------------------------------------------------------------------------
 
 def id_bitmap(ids: DataFrame, id_col: str):
-    """Boolean column function of an id column: false only where the id is not in ``ids``.
+    """Boolean column function of an id column, false only where the id is not in ``ids``, and its broadcast.
 
     A bitmap of fixed size (BITMAP_BITS) over hashed ids is broadcast; what it
     lets through by chance goes in the join that follows it.
@@ -379,7 +380,7 @@ def id_bitmap(ids: DataFrame, id_col: str):
         at = h.to_numpy(zero_copy_only=False) & ((1 << BITMAP_BITS) - 1)
         return pa.array(((held.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1).astype(bool))
 
-    return lambda column: may_hold(F.xxhash64(column.cast("long")))
+    return (lambda column: may_hold(F.xxhash64(column.cast("long")))), held
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
@@ -388,10 +389,12 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     sigs = pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
     named = stage(sigs.join(classes.select(F.col("sig").alias("_s"), F.col("doc_id").alias("id")), F.col("sig") == F.col("_s")).drop("_s"), "join-ids")
     whole = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    few = whole.where(id_bitmap(named, "id")(F.col("_id")))
-    texts = few.join(named, F.col("_id") == F.col("id")).select("sig", F.col("_text").alias("text"))
+    may_hold, held = id_bitmap(named, "id")
+    # Staged, so that no task runs two Python functions, each with a worker of its own.
+    texts = stage(whole.where(may_hold(F.col("_id"))).join(named, F.col("_id") == F.col("id")).select("sig", F.col("_text").alias("text")), "join-candidates")
+    held.destroy()
     # An id may stand for rows of several classes: keep the text of the class itself.
-    own = stage(_of_class(texts, width).dropDuplicates(["sig"]), "join-texts")
+    own = stage(texts.where(set_hash("text", width) == F.col("sig")).dropDuplicates(["sig"]), "join-texts")
     a, b = own.select(F.col("sig").alias("a"), F.col("text").alias("ta")), own.select(F.col("sig").alias("b"), F.col("text").alias("tb"))
 
     @F.arrow_udf("boolean")
@@ -408,33 +411,41 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     return stage(pairs.join(b, "b").join(a, "a").where(links("ta", "tb")).select("a", "b"), "join-links")
 
 
-def _of_class(texts: DataFrame, width: int) -> DataFrame:
+def set_hash(text_col: str, width: int):
+    """Column of the hash that stands for a text's set; null without words."""
     @F.arrow_udf("long")
     def sig(text: pa.Array) -> pa.Array:
-        return pa.array([signature(s) for s in shingle_sets(text_bytes(text), width)], pa.int64())
+        return pa.array([signature(s) if len(s) else None for s in shingle_sets(text_bytes(text), width)], pa.int64())
 
-    return texts.where(sig("text") == F.col("sig"))
+    return sig(text_col)
 
 
 # ---- the join -----------------------------------------------------------------------------------------------------
 
-def near_duplicates(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id) for every row; links: Jaccard >= num/den."""
+def class_links(docs: DataFrame, width: int, num: int, den: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sets, classes, links): every row's set, one line per class of equal sets, and the classes (a, b) that link."""
     bounded_batches(docs.sparkSession)
-    sets = stage(sets_table(docs, id_col, text_col, width), "join-sets", compression="zstd")
-    usable = sets.where("n > 0 AND doc_id IS NOT NULL")
-    classes = stage(usable.groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("point").alias("point")),
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))        # other columns' names cannot clash
+    sets = stage(sets_table(docs, "doc_id", "text", width), "join-sets", compression="zstd")
+    classes = stage(sets.where(USABLE).groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("point").alias("point")),
                     "join-classes", compression="zstd")
-    named_docs = docs.where(F.col(id_col).isNotNull())
-    frequent = frequent_elements(named_docs, classes, id_col, text_col, width)
-    members = bucket_members(key_rows(named_docs, text_col, width, num, den, frequent), classes)
+    named_docs = docs.where(F.col("doc_id").isNotNull())
+    frequent = frequent_elements(named_docs, classes, "doc_id", "text", width)
+    members = bucket_members(key_rows(named_docs, "text", width, num, den, frequent), classes)
     centres, tried = centre_pairs(members, num, den)
-    near = verified(tried, classes, docs, id_col, text_col, width, num, den)
-    more = verified(tree_pairs(members, centres, components(near, "a", "b"), num, den), classes, docs, id_col, text_col, width, num, den)
+    near = verified(tried, classes, docs, "doc_id", "text", width, num, den)
+    more = verified(tree_pairs(members, centres, components(near, "a", "b"), num, den), classes, docs, "doc_id", "text", width, num, den)
+    return sets, classes, near.union(more)
+
+
+def near_duplicates(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, class_id, component_id) for every row; links: Jaccard >= num/den."""
+    sets, classes, found_links = class_links(docs, width, num, den, id_col, text_col)
+    usable = sets.where(USABLE)
     # Links between classes become links between documents; an id with rows in several classes joins them.
     name = classes.select("sig", F.col("doc_id").alias("id"))
-    links = (near.union(more).join(name.select(F.col("sig").alias("a"), F.col("id").alias("u")), "a")
+    links = (found_links.join(name.select(F.col("sig").alias("a"), F.col("id").alias("u")), "a")
              .join(name.select(F.col("sig").alias("b"), F.col("id").alias("v")), "b").select("u", "v"))
     twice = usable.groupBy("doc_id").agg(F.min("sig").alias("s"), F.max("sig").alias("t")).where("s != t").select("doc_id")
     joined = (usable.join(twice, "doc_id").join(name.withColumnRenamed("id", "v"), "sig").select(F.col("doc_id").alias("u"), "v"))
@@ -448,19 +459,35 @@ def near_duplicates(docs: DataFrame, width: int = 3, num: int = 90, den: int = 1
 
 
 def keep_one(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component, the one with the smallest id (rows with a null id stay)."""
-    found = stage(near_duplicates(docs, width, num, den, id_col, text_col), "join-found")
-    gone = stage(found.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct(), "join-gone")
-    may_go = F.coalesce(id_bitmap(gone, "_gone")(F.col(id_col)), F.lit(False))     # only these rows are shuffled
-    left = docs.where(~may_go).union(docs.where(may_go).join(gone, F.col(id_col) == F.col("_gone"), "left_anti"))
-    again = stage(found.where("n_shingles > 0").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1"), "join-again")
+    """One row of each group of rows whose texts link, directly or through others; all columns, whatever their names.
+
+    The row with the smallest id stays, of its rows that differ the one with the
+    smallest set hash, of rows equal in id and set the smallest in all columns.
+    Rows with a null id, and rows without words, stay; rows that share an id and
+    nothing else are different documents and stay too.
+    """
+    sets, _, links = class_links(docs, width, num, den, id_col, text_col)
+    found = components(links, "a", "b")
+    rows = stage(sets.where(USABLE).select("doc_id", "sig").join(found, F.col("sig") == F.col("node"), "left")
+                 .select("doc_id", "sig", F.coalesce("component", "sig").alias("group")), "join-found")
+    stays = rows.groupBy("group").agg(F.min(F.struct("doc_id", "sig")).alias("s"))
+    lost = stage(rows.join(stays, "group").where(F.struct("doc_id", "sig") != F.col("s")).select("doc_id", "sig").distinct(), "join-gone")
+    again = stage(sets.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "join-again")
+    unsure = lost.select("doc_id").union(again).distinct()
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).cast("long").alias("_id"),
+                        F.col(text_col).alias("_text"))
+    may_hold, _ = id_bitmap(unsure, "doc_id")
+    marked = F.coalesce(may_hold(F.col("_id")), F.lit(False))                       # only these rows are shuffled
+    left = whole.where(~marked).union(whole.where(marked).join(unsure, F.col("_id") == F.col("doc_id"), "left_anti"))
     if again.isEmpty():
-        return left
-    # An id with several rows: one of those that have words stays.
-    words = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    marked = left.join(again.select("_again"), F.col(id_col) == F.col("_again"), "left")
-    repeated = F.col("_again").isNotNull() & words
-    return marked.where(~repeated).union(marked.where(repeated).dropDuplicates([id_col])).drop("_again")
+        return left.select("_row.*")
+    # Rows that share an id are told apart by their sets.
+    shared = stage(whole.join(again, F.col("_id") == F.col("doc_id"), "left_semi"), "join-shared-ids")
+    shared = stage(shared.withColumn("_sig", set_hash("_text", width)), "join-shared-sets")
+    wordless = shared.where("_sig IS NULL")
+    one = (shared.where("_sig IS NOT NULL").join(lost, (F.col("_id") == F.col("doc_id")) & (F.col("_sig") == F.col("sig")), "left_anti")
+           .groupBy("_id", "_sig").agg(F.min("_row").alias("_row")))
+    return left.select("_row").union(wordless.select("_row")).union(one.select("_row")).select("_row.*")
 
 
 OP2_SQL = r"""

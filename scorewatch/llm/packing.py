@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
-from .common import arrow_schema, bounded_batches
+from .common import arrow_schema, bounded_batches, release_memory
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -50,30 +50,31 @@ class ByteBpe:
 
     def __init__(self, path: str, pattern: str):
         import tiktoken
-        from tokenizers import Tokenizer
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, byte = spec["model"]["vocab"], _byte_of_symbol()
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.path = path
         pre = spec["pre_tokenizer"]
         in_order = pre["type"] == "ByteLevel" and not pre["add_prefix_space"] and spec["normalizer"] is None \
             and all(vocab.get(a + b) == 256 + k for k, (a, b) in enumerate(pairs))
         ranks = {bytes(byte[c] for c in token): i for token, i in vocab.items() if i < 256 + len(pairs)} if in_order else {}
         self.ranked = tiktoken.Encoding("ranked", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}) if in_order else None
 
+    @functools.cached_property
+    def library(self):
+        """The tokenizers library's own encoder, loaded when a text needs it."""
+        from tokenizers import Tokenizer
+        loaded = Tokenizer.from_file(self.path)
+        loaded.encode_special_tokens = True
+        return loaded
+
     def encode(self, text: str) -> bytes:
         if self.ranked is None or len(text) > 200_000:      # its pattern engine gives up on very long runs
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return np.array(self.ranked.encode_ordinary(text), "<u4").tobytes()
 
 
-@functools.lru_cache(maxsize=2)
-def byte_bpe(path: str, pattern: str) -> ByteBpe:
-    return ByteBpe(path, pattern)
-
-
 def tokenised_pieces(df: DataFrame, tokenizer_path: str, pattern: str, end_id: int, window: int,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: full windows of long documents and every document's rest."""
@@ -81,7 +82,7 @@ def tokenised_pieces(df: DataFrame, tokenizer_path: str, pattern: str, end_id: i
     schema = arrow_schema(PIECES)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = byte_bpe(tokenizer_path, pattern), end_id.to_bytes(4, "little")
+        encoder, end = ByteBpe(tokenizer_path, pattern), end_id.to_bytes(4, "little")     # held for the task, not for the worker's life
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part, rows = batch.slice(at, 1000), []
@@ -91,6 +92,8 @@ def tokenised_pieces(df: DataFrame, tokenizer_path: str, pattern: str, end_id: i
                         piece = ids[4 * start:4 * (start + window)]
                         rows.append((doc, start, len(piece) // 4, zlib.crc32(piece), len(ids) // 4))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+        del encoder
+        release_memory()
 
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(cut, PIECES)
 

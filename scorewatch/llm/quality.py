@@ -41,6 +41,7 @@ from math import lgamma
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -318,8 +319,8 @@ SCORES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 
 
 def quality_column(spark, model: SortedGramModel, lang_col: str = "lang", text_col: str = "text"):
-    """Struct column of SCORES for every row; ``model`` is a crossed one."""
-    held = spark.sparkContext.broadcast(model)
+    """Struct column of SCORES for every row; ``model`` is a crossed one, or its broadcast."""
+    held = model if isinstance(model, Broadcast) else spark.sparkContext.broadcast(model)
     ddl = "struct<" + ",".join(f"{n}:{t}" for n, t in (f.split() for f in SCORES.replace("long", "bigint").split(", "))) + ">"
 
     @F.arrow_udf(ddl)
@@ -400,10 +401,11 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "l
 
 def keep_good(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that both kinds of rules keep, with all their columns."""
-    model = train_model(docs, lang_col, text_col, crossed=True)
+    model = docs.sparkSession.sparkContext.broadcast(train_model(docs, lang_col, text_col, crossed=True))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     scored = stage(docs.select(whole, F.col(lang_col).alias("lang"), quality_column(docs.sparkSession, model, lang_col, text_col).alias("_q"))
                    .select("_row", "lang", "_q.*"), "quality-rows")
+    model.destroy()                     # the workers' copies go too
     return with_verdict(scored, bands(scored)).where("kept").select("_row.*")
 
 

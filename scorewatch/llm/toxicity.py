@@ -18,7 +18,7 @@ features; a null label is no label, and of several labels for an id the
 toxic one counts; without labelled rows of both classes the score is the
 smoothed share of toxic labels, 0 without labels; null and repeated ids are
 scored row by row; an empty table gives an empty result; other columns are
-kept by ``with_toxicity`` whatever their names.
+kept by ``drop_toxic`` whatever their names.
 """
 
 from __future__ import annotations
@@ -209,7 +209,7 @@ def training_labels(labels: DataFrame, folds: int = 5, id_col: str = "doc_id") -
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` (all columns) whose score stays below the threshold."""
     model = train(docs, training_labels(labels))
-    return docs.withColumn("_toxicity", toxicity_score(docs.sparkSession, model)).where(F.col("_toxicity") < threshold).drop("_toxicity")
+    return docs.where(toxicity_score(docs.sparkSession, model) < threshold)
 
 
 def op3_nb_toxicity(spark, sf_dir):

@@ -126,22 +126,37 @@ def test_messy_rows_and_empty_table(spark):
     assert keep_one(empty(spark)).collect() == []
 
 
+def kept_by_texts(rows, width, num, den):
+    """Ids that stay, by comparing the texts of all rows; rows of one id are different documents."""
+    numbered = [(i, t) for i, (d, t) in enumerate(rows) if d is not None]
+    comp = {int(i): c for i, _, c in plain_components(numbered, width, num, den)}
+    groups, stay = {}, []
+    for i, (d, t) in enumerate(rows):
+        if d is None or not plain_set(t, width):
+            stay.append(d)
+        else:
+            groups.setdefault(comp[i], []).append(d)
+    return sorted([*stay, *(min(g) for g in groups.values())], key=str)
+
+
 def test_keep_one(spark):
-    docs = messy(spark)
+    kept = keep_one(messy(spark), 5, 80, 100)
+    assert kept.columns == messy(spark).columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == kept_by_texts([(r[0], r[1]) for r in messy_rows()], 5, 80, 100)
+
+
+def test_keep_one_of_rows_that_share_an_id_and_clashing_names(spark):
+    """Unlike texts under one id stay, equal ones go; columns named like the operator's own are kept."""
+    base = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(6)]
+    rows = [(1, base[0]), (1, base[1]), (1, base[1]), (2, base[1]), (2, base[2] + " more"), (3, base[2]), (4, ""), (4, base[3]), (4, None),
+            (5, base[3]), (6, base[4]), (None, base[4]), (7, base[5]), (7, base[5] + " tail")] + [(9, base[0] + f" own{i} a{i} b{i} c{i} d{i} e{i} f{i} g{i} h{i}") for i in range(40)]
+    docs = spark.createDataFrame([(d, t, i, 1, "r", 2, 3.0, 4, 5) for i, (d, t) in enumerate(rows)],
+                                 "doc_id long, text string, _gone long, _again long, _row string, _id long, _toxicity double, sig long, group long")
     kept = keep_one(docs, 5, 80, 100)
     assert kept.columns == docs.columns
-    comps = {}
-    for r, (d, n, c) in zip(sorted(messy_rows(), key=lambda r: (str(r[0]), len(plain_set(r[1], 5)))),
-                            plain_components([(r[0], r[1]) for r in messy_rows()], 5, 80, 100)):
-        comps.setdefault(c, []).append((d, n))
-    ids = sorted(str(r.doc_id) for r in kept.collect())
-    # One row with words of each group; rows without words or id stay.
-    want = []
-    for c, rows in comps.items():
-        want += [d for d, n in rows if d == "None" or n == 0]
-        if c != "None" and any(n for _, n in rows):
-            want.append(c)
-    assert ids == sorted(want)
+    got_rows = kept.collect()
+    assert sorted((r.doc_id for r in got_rows), key=str) == kept_by_texts(rows, 5, 80, 100)
+    assert all(rows[r._gone] == (r.doc_id, r.text) for r in got_rows) and len({r._gone for r in got_rows}) == len(got_rows)
 
 
 def test_components_of_chains_stars_and_cycles(spark):

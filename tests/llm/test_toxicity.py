@@ -51,6 +51,8 @@ def test_messy_rows_and_missing_classes(spark):
     assert drop_toxic(docs, labels.limit(0)).columns == docs.columns
     assert drop_toxic(docs, labels.limit(0)).count() == len(messy_rows())
     assert drop_toxic(empty(spark), labels).collect() == []
+    named = docs.selectExpr("doc_id", "text", "1.5 AS _toxicity")
+    assert drop_toxic(named, labels.limit(0)).columns == named.columns
 
 
 def test_held_out_accuracy_and_use_of_training_labels_only(spark, tmp_path):
