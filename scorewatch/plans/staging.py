@@ -8,36 +8,64 @@ loss like a checkpoint, but it is written by one columnar job
 (``Dataset.checkpoint`` would compute the plan twice and serialise rows).
 
 Staged tables are kept until ``drop_staged``: call it when the results built
-on them have been written.
+on them have been written. A run that drops its tables on its own holds a
+``Scope``; what is staged while the scope is entered belongs to it alone.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
 _STAGED: list[str] = []
+_CURRENT: ContextVar[list[str]] = ContextVar("staged", default=_STAGED)
 
 
-def stage(df: DataFrame, name: str = "stage", compression: str = "snappy", keep: bool = False) -> DataFrame:
-    """Write ``df`` and read it back. ``keep`` exempts the table from ``drop_staged``."""
+class Scope:
+    """The staged tables of one run."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def drop(self, spark: SparkSession) -> int:
+        return _drop(spark, self.paths)
+
+    @contextmanager
+    def begin(self, spark: SparkSession) -> Iterator[None]:
+        """Drop what the scope staged before (its results must have been written), and stage into it."""
+        self.drop(spark)
+        token = _CURRENT.set(self.paths)
+        try:
+            yield
+        finally:
+            _CURRENT.reset(token)
+
+
+def stage(df: DataFrame, name: str = "stage", compression: str = "snappy") -> DataFrame:
+    """Write ``df`` and read it back."""
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/scorewatch-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").option("compression", compression).parquet(path)
-    if not keep:
-        _STAGED.append(path)
+    _CURRENT.get().append(path)
     return spark.read.parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> int:
-    """Delete every table staged so far by this process (not the kept ones); returns how many."""
+def _drop(spark: SparkSession, paths: list[str]) -> int:
     dropped = 0
-    while _STAGED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
         dropped += 1
     return dropped
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete every table staged so far by this process outside any scope; returns how many."""
+    return _drop(spark, _STAGED)

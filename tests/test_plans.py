@@ -27,14 +27,23 @@ def test_ordered_work_joins_one_line_per_partition(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
 
 
-def test_staged_tables_can_be_dropped(spark):
+def test_staged_tables_are_dropped_by_their_own_scope(spark):
     import os
 
-    from scorewatch.plans.staging import drop_staged, stage
+    from scorewatch.plans.staging import Scope, drop_staged, stage
+    path = lambda d: d.inputFiles()[0].replace("file://", "").rsplit("/", 1)[0]
     drop_staged(spark)
-    one, two = stage(spark.range(3), "drop-test"), stage(spark.range(3), "keep-test", keep=True)
-    paths = [d.inputFiles()[0].replace("file://", "").rsplit("/", 1)[0] for d in (one, two)]
-    assert drop_staged(spark) == 1 and [os.path.exists(p) for p in paths] == [False, True]
+    run, outside = Scope(), stage(spark.range(3), "outside")
+    with run.begin(spark):
+        first = path(stage(spark.range(3), "first"))
+    assert os.path.exists(first) and os.path.exists(path(outside))
+    with run.begin(spark):
+        second = path(stage(spark.range(3), "second"))
+    assert not os.path.exists(first) and os.path.exists(second) and os.path.exists(path(outside))
+    assert drop_staged(spark) == 1 and os.path.exists(second)
+    with run.begin(spark):
+        pass
+    assert not os.path.exists(second)
 
 
 def test_periods_of_any_number(spark):
