@@ -23,6 +23,12 @@ def canonical_id(c) -> Column:
     return F.when(s.isin(MISSING_TOKENS), F.lit(None).cast("string")).otherwise(s)
 
 
+def key_of(df, name: str) -> Column:
+    """Canonical id column ``name`` of ``df``: as it is where a keyed table holds it canonical already
+    (so the table's bucketing stays known to the planner), else ``canonical_id``."""
+    return F.col(name) if df.schema[name].metadata.get("canonical") else canonical_id(name)
+
+
 def month_key(c) -> Column:
     """B1: integer YYYYMM; null for a null date."""
     c = col(c)

@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bands import attrition_band, inf_to_open_ended, open_ended_to_number
-from ..functions.core import canonical_id, day_distance, event_flag, month_key, months_diff, shift_months
+from ..functions.core import canonical_id, day_distance, event_flag, key_of, month_key, months_diff, shift_months
 from ..operators.keys import dedup_on, one_row_per_key, pick_first
 
 CID = "ee_customer_id"
 
 
 def _onboarding_lookup(onboarding: DataFrame) -> DataFrame:
-    return one_row_per_key(onboarding.select(canonical_id(CID).alias(CID),
+    return one_row_per_key(onboarding.select(key_of(onboarding, CID).alias(CID),
                                              F.to_date("ee_onboarding_date").alias("ee_onboarding_date"))
                            .where(F.col(CID).isNotNull()), [CID])
 
@@ -35,20 +35,20 @@ def _with_onboarding(scores: DataFrame, onboarding: DataFrame) -> DataFrame:
             .withColumn("onboarding_date_ym", month_key("ee_onboarding_date")))
 
 
-def _score_columns(tie_break) -> list:
-    return [canonical_id(CID).alias(CID), *tie_break, "attrition_risk_segment", "attrition_time_to_leave",
+def _score_columns(scores: DataFrame, tie_break) -> list:
+    return [key_of(scores, CID).alias(CID), *tie_break, "attrition_risk_segment", "attrition_time_to_leave",
             F.col("oop_score_prod").cast("double").alias("oop_score_prod"), "oop_risk_segment_prod"]
 
 
 def prod_api_base(scores_api: DataFrame, onboarding: DataFrame, tie_break=()) -> DataFrame:
     """New-user production scores: run date truncated to the day."""
-    s = scores_api.select(*_score_columns(tie_break), F.to_date("run_date").alias("run_date"))
+    s = scores_api.select(*_score_columns(scores_api, tie_break), F.to_date("run_date").alias("run_date"))
     return _with_onboarding(s, onboarding)
 
 
 def prod_batch_base(scores_batch: DataFrame, onboarding: DataFrame, tie_break=()) -> DataFrame:
     """Existing-user production scores, duplicates on the four score columns removed (H4)."""
-    s = scores_batch.select(*_score_columns(tie_break), "run_date")
+    s = scores_batch.select(*_score_columns(scores_batch, tie_break), "run_date")
     s = dedup_on(s, [CID, "run_date", "attrition_time_to_leave", "oop_score_prod"], list(tie_break))
     return _with_onboarding(s, onboarding)
 
@@ -56,11 +56,11 @@ def prod_batch_base(scores_batch: DataFrame, onboarding: DataFrame, tie_break=()
 def matured_targets(targets: DataFrame) -> DataFrame:
     """A2: matured repay outcomes, one row per customer."""
     return one_row_per_key(targets.where(F.col("target_maturity_flag") == 1)
-                           .select(canonical_id("user_id").alias(CID), F.col("target").cast("int").alias("oop_target")), [CID])
+                           .select(key_of(targets, "user_id").alias(CID), F.col("target").cast("int").alias("oop_target")), [CID])
 
 
 def balances(backscore_new: DataFrame, with_score: bool) -> DataFrame:
-    cols = [canonical_id(CID).alias(CID), "osbal_as_of_resignation_date",
+    cols = [key_of(backscore_new, CID).alias(CID), "osbal_as_of_resignation_date",
             "osbal_as_of_oop_eligible_date", "osbal_as_of_current_date"]
     if with_score:
         cols.insert(1, F.col("score_oop").cast("double").alias("score_oop"))
@@ -85,7 +85,7 @@ def _month_lookup(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def _rescored_repay(backscore_existing: DataFrame) -> DataFrame:
     return _month_lookup(_calc_month(backscore_existing.select(
-        canonical_id(CID).alias(CID), "calc_date", F.col("score_oop").cast("double").alias("score_oop"))), ["score_oop"])
+        key_of(backscore_existing, CID).alias(CID), "calc_date", F.col("score_oop").cast("double").alias("score_oop"))), ["score_oop"])
 
 
 def oop_new_calc(api_base: DataFrame, targets: DataFrame, backscore_new: DataFrame, tie_break=()) -> DataFrame:
@@ -109,12 +109,12 @@ def oop_existing_calc(batch_base: DataFrame, targets: DataFrame, backscore_new:
 # ---------------------------------------------------------------- attrition
 
 def resignation_lookup(resignation: DataFrame) -> DataFrame:
-    return one_row_per_key(resignation.select(canonical_id(CID).alias(CID),
+    return one_row_per_key(resignation.select(key_of(resignation, CID).alias(CID),
                                               F.to_date("ee_resignation_date_correct").alias("ee_resignation_date_correct")), [CID])
 
 
 def attrition_scores(backscore_attrition: DataFrame) -> DataFrame:
-    bs = backscore_attrition.select(canonical_id(CID).alias(CID), "calc_date",
+    bs = backscore_attrition.select(key_of(backscore_attrition, CID).alias(CID), "calc_date",
                                     F.col("score_attr").cast("double").alias("score_attr"),
                                     "score_attr_segment", "ee_onboarding_month", "is_new_customer_flag_3m")
     bs = _calc_month(bs)

@@ -57,6 +57,12 @@ def stage(df: DataFrame, name: str = "stage", compression: str = "snappy") -> Da
     return spark.read.parquet(path)
 
 
+def adopt(path: str) -> str:
+    """Have a table that is written elsewhere dropped with the staged ones."""
+    _CURRENT.get().append(path)
+    return path
+
+
 def _drop(spark: SparkSession, paths: list[str]) -> int:
     dropped = 0
     while paths:
