@@ -19,9 +19,10 @@ Rules (reference parity):
   ``Gini = round(2 * AUC - 1, 4)``; one class only, or any null score or
   weight in the period, gives a null Gini.
 
-Plan: one pass over the sources assigns periods and aggregates to two
-levels, per customer and per distinct score (grouping sets, combined
-map-side); this result is staged. A prefix sum over distinct scores that is
+Plan: one pass over the sources assigns elementary intervals of the periods
+and aggregates to two levels, per customer and per distinct score (grouping
+sets, combined map-side); this result is staged, and only it is merged into
+the periods, so a row is never copied for periods that overlap. A prefix sum over distinct scores that is
 split into equal-frequency score buckets gives the AUC, so a period with
 very many distinct scores is not sorted in one task.
 """
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from ..functions.core import valid_number
 from ..plans.ordered import bucketed_exclusive_prefix
 from ..plans.staging import stage
-from .periods import assign_periods
+from .periods import assign_intervals, assign_periods
 
 GROUP = ["series", "Period"]
 
@@ -50,7 +51,7 @@ def gini_by_period(stacked: DataFrame, series: list[str], periods, weights: dict
     spark = stacked.sparkSession
     names = list(weights or {"Unweighted": None})
     w = [F.lit(1.0) if c is None else F.col(c).cast("double") for c in (weights or {"Unweighted": None}).values()]
-    rows = assign_periods(stacked.where(F.col("target").isNotNull()), "obs_date", periods)
+    rows = assign_intervals(stacked.where(F.col("target").isNotNull()), "obs_date", periods)
     bad = [~valid_number("score") | ~valid_number(x) for x in w]
 
     aggs = [F.max("target").alias("good"), F.min("target").alias("low")]
@@ -58,15 +59,19 @@ def gini_by_period(stacked: DataFrame, series: list[str], periods, weights: dict
         aggs += [F.sum(F.when(b, 1).otherwise(0)).alias(f"bad{i}"),
                  F.sum(F.when(~b, x * F.col("target"))).alias(f"pos{i}"),
                  F.sum(F.when(~b, x * (1 - F.col("target")))).alias(f"neg{i}")]
-    levels = stage(rows.groupingSets([[*GROUP, "cid"], [*GROUP, "score"]], *GROUP, "cid", "score")
+    split, n = ["series", "_interval"], len(w)
+    levels = stage(rows.groupingSets([[*split, "cid"], [*split, "score"]], *split, "cid", "score")
                    .agg(F.grouping("cid").alias("_by_score"), *aggs), "gini-levels")
 
-    sizes = levels.where("_by_score = 0").groupBy(*GROUP).agg(
+    merged = lambda level: assign_periods(levels.where(F.col("_by_score") == level), "_interval", periods)
+    customers = merged(0).groupBy(*GROUP, "cid").agg(F.max("good").alias("good"), F.min("low").alias("low"),
+                                                     *[F.sum(f"bad{i}").alias(f"bad{i}") for i in range(n)])
+    sizes = customers.groupBy(*GROUP).agg(
         F.count(F.lit(1)).alias("Sample_Size"), F.sum("good").alias("_goods"),
         ((F.max("good") == 1) & (F.min("low") == 0)).alias("_two_classes"),
-        *[F.sum(f"bad{i}").alias(f"_bad{i}") for i in range(len(w))])
-    by_score = levels.where(F.col("_by_score") == 1).where(valid_number("score")).select(
-        *GROUP, "score", *[F.coalesce(f"{k}{i}", F.lit(0.0)).alias(f"{k}{i}") for i in range(len(w)) for k in ("pos", "neg")])
+        *[F.sum(f"bad{i}").alias(f"_bad{i}") for i in range(n)])
+    by_score = stage(merged(1).where(valid_number("score")).groupBy(*GROUP, "score").agg(
+        *[F.coalesce(F.sum(f"{k}{i}"), F.lit(0.0)).alias(f"{k}{i}") for i in range(n) for k in ("pos", "neg")]), "gini-scores")
     prefixed = bucketed_exclusive_prefix(by_score, GROUP, "score", [f"neg{i}" for i in range(len(w))], rows_per_bucket)
     auc = prefixed.groupBy(*GROUP).agg(*[a for i in range(len(w)) for a in (
         F.sum(F.col(f"pos{i}") * (F.col(f"neg{i}_before") + F.col(f"neg{i}") / 2)).alias(f"_num{i}"),

@@ -4,7 +4,10 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from scorewatch.operators.gini import gini_by_period
+from scorewatch.operators.periods import assign_intervals, assign_periods, elementary_intervals
 
 D = dt.date(2024, 1, 15)
 W = {"Weighted": "weight"}
@@ -61,3 +64,36 @@ def test_bad_rate_counts_customer_once_as_good(spark):
     df = spark.createDataFrame(data, "series string, cid string, obs_date date, score double, target int, weight double")
     r = gini_by_period(df, ["s"], PERIODS[:1], W).collect()[0]
     assert r.Sample_Size == 2 and r.Bad_Rate_Pct == 50.0
+
+
+def test_elementary_intervals_cut_at_every_end():
+    cuts = elementary_intervals([("a", "2024-01-01", "2024-01-31"), ("b", "2024-01-10", "2024-02-28"), ("c", "2024-05-01", "2024-05-01"), ("none", "2024-06-02", "2024-06-01")])
+    assert [(str(d), h) for d, h in cuts] == [("2024-01-01", True), ("2024-01-10", True), ("2024-02-01", True), ("2024-02-29", False), ("2024-05-01", True), ("2024-05-02", False)]
+
+
+def test_a_row_lies_in_one_interval_and_the_merge_gives_its_periods(spark):
+    rng = random.Random(8)
+    day = lambda: dt.date(2024, 1, 1) + dt.timedelta(days=rng.randrange(120))
+    periods = [(f"p{i}", str(min(a, b)), str(max(a, b))) for i in range(1000) for a, b in [(day(), day())]]
+    rows = [(i, day() if i % 20 else None) for i in range(300)] + [(1000, dt.date(2030, 1, 1)), (1001, dt.date(2000, 1, 1))]
+    df = spark.createDataFrame(rows, "i int, d date")
+    cut = assign_intervals(df, "d", periods)
+    states = cut.groupBy("_interval").agg(F.count(F.lit(1)).alias("n"))
+    assert cut.count() <= len(rows) and states.count() <= 2 * 120
+    got = {r.Period: r.n for r in assign_periods(states, "_interval", periods).groupBy("Period").agg(F.sum("n").alias("n")).collect()}
+    want = {n: k for n, s, e in periods if (k := sum(d is not None and s <= str(d) <= e for _, d in rows))}
+    assert got == want
+    assert assign_intervals(df, "d", []).count() == 0
+
+
+def test_gini_of_many_overlapping_periods_equals_each_alone(spark):
+    rng = random.Random(2)
+    data = [("s", f"c{rng.randrange(40)}", dt.date(2024, 1, 1) + dt.timedelta(days=rng.randrange(60)), rng.choice([None, 0.1, 0.2, 0.5, 0.9]) if i % 30 == 0 else rng.random(),
+             rng.randrange(2), float(rng.randrange(5))) for i in range(600)]
+    df = spark.createDataFrame(data, "series string, cid string, obs_date date, score double, target int, weight double")
+    periods = [(f"p{i}", f"2024-01-{1 + 3 * i:02d}", f"2024-02-{5 + 2 * i:02d}") for i in range(8)]
+    key = lambda r: (r.Period, r.Weighting)
+    both = {"Unit": None, "Weighted": "weight"}
+    together = sorted(gini_by_period(df, ["s"], periods, both).collect(), key=key)
+    alone = sorted((r for p in periods[::3] for r in gini_by_period(df, ["s"], [p], both).collect()), key=key)
+    assert [r for r in together if r.Period in {p[0] for p in periods[::3]}] == alone
