@@ -41,12 +41,14 @@ GROUP = ["series", "Period"]
 
 
 def gini_by_period(stacked: DataFrame, series: list[str], periods, weights: dict[str, str] | None = None,
-                   rows_per_bucket: int = 100_000) -> DataFrame:
+                   rows_per_bucket: int = 100_000, low_is_good: tuple[str, ...] = ()) -> DataFrame:
     """Return series, Period, Start_Date, End_Date, Sample_Size, Bad_Rate_Pct, Weighting, Gini.
 
     ``series`` lists every series id expected in the output (a period with no
     rows still yields a row); ``periods`` is [(name, start, end)]; ``weights``
-    maps a weighting's name to its column in ``stacked`` (default: unit weights).
+    maps a weighting's name to its column in ``stacked`` (default: unit weights);
+    of the series ``low_is_good`` a low score goes with target 1, so their Gini
+    counts the pairs the other way round.
     """
     spark = stacked.sparkSession
     names = list(weights or {"Unweighted": None})
@@ -84,7 +86,8 @@ def gini_by_period(stacked: DataFrame, series: list[str], periods, weights: dict
 
     def gini(i):
         ok = F.col("_two_classes") & (F.col(f"_bad{i}") == 0)
-        return F.when(ok, F.bround(2 * F.try_divide(f"_num{i}", f"_den{i}") - 1, 4))
+        forward = 2 * F.try_divide(f"_num{i}", f"_den{i}") - 1
+        return F.when(ok, F.bround(F.when(F.col("series").isin(*low_is_good), -forward).otherwise(forward) if low_is_good else forward, 4))
 
     each = F.explode(F.array(*[F.struct(F.lit(n).alias("Weighting"), gini(i).alias("Gini")) for i, n in enumerate(names)]))
     return (grid.join(sizes, GROUP, "left").join(auc, GROUP, "left")

@@ -50,7 +50,7 @@ def monthly_pages(lg, p: Params, run_key=(), event_key=(), loan_order=("ee_onboa
     resignation = m.t["resignation"]
     base = pf.outcome_base(m.oop_new, resignation, p)
     master = pf.scorecard_master(lg["scores_api"], lg["onboarding"], run_key)
-    onboarded = pf.onboarded_base(master, resignation, lg["backscore_oop_new"], lg["targets"], p)
+    onboarded = pf.onboarded_base(master, resignation, lg["backscore_oop_new"], lg["targets"], p, run_key)
     profile = fn.employee_profile(lg["users"], lg["income_info"], lg["user_timelines"], lg["employers"],
                                   lg["user_tag"], lg["credit_info"])
     cohort = fn.onboarding_cohort(lg["scores_api"], lg["user_timelines"], p, run_key)

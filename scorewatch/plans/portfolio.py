@@ -60,10 +60,12 @@ def peso_bad_rate(base: DataFrame, run_month: str) -> DataFrame:
                       F.lit(run_month).alias("RunMonth"))
 
 
-def onboarded_base(master: DataFrame, resignation: DataFrame, balances: DataFrame, targets: DataFrame, p: Params) -> DataFrame:
-    """Rows behind the all-customers form of pages 7 and 8: every score-master row of a customer onboarded
-    in the window, with its credit limit; a matured target is optional (its filter sits in the join)."""
-    m = master.where(F.col("onboarding_date").between(F.lit(p.bad_rate_from).cast("date"), F.lit(p.bad_rate_to).cast("date")))
+def onboarded_base(master: DataFrame, resignation: DataFrame, balances: DataFrame, targets: DataFrame, p: Params, tie_break=()) -> DataFrame:
+    """Rows behind the all-customers form of pages 7 and 8: the first score run of every customer onboarded
+    in the window, with its credit limit, so counts and sums are all per customer; a matured target is
+    optional (its filter sits in the join)."""
+    first = pick_first(master.where(F.col(CID).isNotNull()), [CID], ["run_date", *tie_break], ["credit_limit", "onboarding_date"])
+    m = first.where(F.col("onboarding_date").between(F.lit(p.bad_rate_from).cast("date"), F.lit(p.bad_rate_to).cast("date")))
     b = (m.join(fr.resignation_lookup(resignation), CID, "left").join(fr.balances(balances, with_score=False), CID, "left")
          .join(fr.matured_targets(targets), CID, "left"))
     return b.select(
@@ -75,10 +77,10 @@ def onboarded_base(master: DataFrame, resignation: DataFrame, balances: DataFram
 
 
 def onboarded_unit_bad_rate(base: DataFrame, run_month: str) -> DataFrame:
-    """R7 over all onboarded customers: distinct customers, and sums over score-master rows."""
+    """R7 over all onboarded customers, one row each."""
     had = F.col("left_job") * F.col("had_oop_outstanding")
     agg = base.groupBy("Scorecard", "OnboardingMonth").agg(
-        F.count_distinct(CID).alias("CntOnboarded"), F.sum("left_job").alias("CntLeftJob"), F.sum(had).alias("CntHadOopOutstanding"),
+        F.count(CID).alias("CntOnboarded"), F.sum("left_job").alias("CntLeftJob"), F.sum(had).alias("CntHadOopOutstanding"),
         F.sum(F.when(F.col("oop_target") == 0, had).otherwise(0)).alias("CntOopFlagBad"))
     rate = safe_ratio("CntOopFlagBad", "CntLeftJob")
     return agg.select("*", rate.alias("UnitBadRate"), pct(rate, 2).alias("UnitBadRate_Pct"), F.lit(run_month).alias("RunMonth"))

@@ -86,3 +86,23 @@ def test_ledger_keeps_rows_without_loan_date_or_amount(spark):
         (10.0, 90.0, 100.0), (None, None, 90.0), (30.0, 70.0, 100.0), (35.0, 65.0, 70.0), (None, None, None), (None, None, None)]
     # The switch needs a loan: installment 2 to 3 on 2000-02-01.
     assert [tuple(r) for r in ln.switch_dates(events).collect()] == [("u", D(2000, 3, 1))]
+
+
+def test_all_customer_bad_rates_count_one_run_per_customer(spark):
+    """Three runs of one bad leaver are one customer in counts and sums alike."""
+    import datetime as dt
+
+    from scorewatch.plans import portfolio as pf
+    from scorewatch.plans.params import REFERENCE as p
+    d = dt.date.fromisoformat(p.bad_rate_from)
+    master = spark.createDataFrame([("a", d, 1, 100.0, d), ("a", d + dt.timedelta(days=9), 2, 900.0, d), ("a", d + dt.timedelta(days=20), 3, 900.0, d),
+                                    ("b", d, 4, 50.0, d), (None, d, 5, 7.0, d)],
+                                   "ee_customer_id string, run_date date, run_key int, credit_limit double, onboarding_date date")
+    resignation = spark.createDataFrame([("a", d)], "ee_customer_id string, ee_resignation_date_correct date")
+    balances = spark.createDataFrame([("a", 0.5, 10.0, 8.0, 6.0)], "ee_customer_id string, score_oop double, osbal_as_of_resignation_date double, "
+                                     "osbal_as_of_oop_eligible_date double, osbal_as_of_current_date double")
+    targets = spark.createDataFrame([("a", 0, 1, d)], "user_id string, target int, target_maturity_flag int, ee_resignation_date_correct date")
+    base = pf.onboarded_base(master, resignation, balances, targets, p, ("run_key",))
+    unit, money = pf.onboarded_unit_bad_rate(base, "m").collect()[0], pf.onboarded_peso_bad_rate(base, "m").collect()[0]
+    assert (unit.CntOnboarded, unit.CntLeftJob, unit.CntHadOopOutstanding, unit.CntOopFlagBad) == (2, 1, 1, 1)
+    assert (money.TotCLAmt, money.TotOsAsOfResignation, money.TotOsAsOfOopEligible, money.TotOsFromBadCustomers) == (150.0, 10.0, 8.0, 6.0)

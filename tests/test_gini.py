@@ -97,3 +97,10 @@ def test_gini_of_many_overlapping_periods_equals_each_alone(spark):
     together = sorted(gini_by_period(df, ["s"], periods, both).collect(), key=key)
     alone = sorted((r for p in periods[::3] for r in gini_by_period(df, ["s"], [p], both).collect()), key=key)
     assert [r for r in together if r.Period in {p[0] for p in periods[::3]}] == alone
+
+
+def test_score_direction(spark):
+    data = [(s, f"c{i}", D, i / 10, int(i > 5 or i == 2), 1.0) for i in range(10) for s in ("up", "down")]
+    df = spark.createDataFrame(data, "series string, cid string, obs_date date, score double, target int, weight double")
+    got = {r.series: r.Gini for r in gini_by_period(df, ["up", "down"], PERIODS[:1], low_is_good=("down",)).collect()}
+    assert got["up"] == -got["down"] and got["up"] > 0
