@@ -1,4 +1,4 @@
-"""Report sinks.
+"""Report sinks (A5-A7, A9; page runs are in ``plans.runs``, snapshots switched by a manifest in ``sources.snapshots``).
 
 Reports are small aggregates; snapshots (resolved resignation dates, master
 frames) can be large. Writers never collect: they hand the DataFrame to
@@ -38,26 +38,6 @@ def save_table(df: DataFrame, name: str, append: bool = False) -> None:
     df.write.mode("append" if append else "overwrite").saveAsTable(name)
 
 
-def export_reports(reports: dict[str, DataFrame], root: str,
-                   orders: dict[str, list] | None = None, large: set[str] | frozenset = frozenset()) -> dict[str, str]:
-    """One directory per report under ``root``; returns name -> path.
-
-    ``orders`` gives the sort keys of a page (G1). Outputs named in
-    ``large`` (customer- or event-level tables) are written as parquet by
-    all tasks in parallel, never funnelled into one file.
-    """
-    orders = orders or {}
-    paths = {}
-    for name, df in reports.items():
-        path = f"{root.rstrip('/')}/{name}"
-        if name in large:
-            write_table(df, path, "parquet")
-        else:
-            write_page(df, path, orders.get(name))
-        paths[name] = path
-    return paths
-
-
 def publish_snapshot(df: DataFrame, root: str, run_date: str) -> None:
     """Dated snapshot, partitioned by run date; re-running a date
     replaces only that date's partition."""
