@@ -88,11 +88,6 @@ def valid_number(c) -> Column:
     return c.isNotNull() & ~F.isnan(c)
 
 
-def naive_timestamp(c) -> Column:
-    """Drop the time zone (wall-clock time as timestamp_ntz)."""
-    return col(c).cast("timestamp_ntz")
-
-
 def coerce_columns(df, schema):
     """Cast columns to a declared StructType; text that does not parse
     becomes null (try_cast) instead of failing the job. Columns not in the

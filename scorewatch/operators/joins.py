@@ -13,8 +13,3 @@ def left_join_where(left: DataFrame, right: DataFrame, on: list[str], right_filt
     lets the predicate reach the right side's scan.
     """
     return left.join(right.where(right_filter), on=on, how="left")
-
-
-def pair_present(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
-    """Key-aligned pairs present on both sides (inner join)."""
-    return a.join(b, on=on, how="inner")

@@ -39,11 +39,13 @@ def repay_rank_order(df: DataFrame, segment: str, where, model_label, period_lab
         F.count(cid).alias("Count"),
         F.sum(bad).alias("_bad"),
         F.coalesce(F.sum("osbal_as_of_resignation_date"), F.lit(0.0)).alias("_res"),
-        F.coalesce(F.sum(bad * F.col("osbal_as_of_current_date")), F.lit(0.0)).alias("_bad_today"))
+        F.coalesce(F.sum(bad * F.col("osbal_as_of_current_date")), F.lit(0.0)).alias("_bad_today"),
+        F.coalesce(F.sum("osbal_as_of_oop_eligible_date"), F.lit(0.0)).alias("_eligible"))
     return agg.select(
         "RiskGroup", "Count",
         money(F.col("_res")).alias("Sum_Osbal_Resignation"),
         money(F.col("_bad_today")).alias("Sum_Osbal_Bads_Today"),
+        money(F.col("_eligible")).alias("Sum_Osbal_Eligible"),
         pct(safe_ratio("_bad", "Count"), 1).alias("Bad_Rate_Pct"),
         pct(safe_ratio("_bad_today", "_res"), 1).alias("Outstanding_Bad_Rate"),
         label.alias("ModelVersion"),

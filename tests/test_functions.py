@@ -3,6 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from scorewatch.functions import bands, core, dates, scorecard
+from scorewatch.operators.rank_order import repay_rank_order
 
 
 def _rows(spark, data, schema, *cols):
@@ -116,3 +117,15 @@ def test_coerce_and_label_completion(spark):
     full = with_all_labels(rep, "RiskGroup", list("ABCDEF"), keys=["ModelVersion"]).collect()
     assert len(full) == 12
     assert [(r.RiskGroup, r.Count) for r in full[:6]] == [("A", 3), ("B", None), ("C", 1), ("D", None), ("E", None), ("F", None)]
+
+
+def test_repay_rank_order_sums_the_eligible_balance(spark):
+    """Per segment: all members' balance on the eligible date, missing balances as nothing, segments without a label left out."""
+    rows = [("1", "A", 1, 100.0, 40.0, 70.25), ("2", "A", 0, 50.0, 30.0, 20.5), ("3", "A", 0, None, None, None),
+            ("4", "B", 1, None, None, None), ("5", None, 0, 9.0, 9.0, 9.0)]
+    df = spark.createDataFrame(rows, "ee_customer_id string, seg string, oop_target int, osbal_as_of_resignation_date double, "
+                                     "osbal_as_of_current_date double, osbal_as_of_oop_eligible_date double")
+    out = {r.RiskGroup: r for r in repay_rank_order(df, "seg", None, "m", "p", "2025-01").collect()}
+    assert set(out) == {"A", "B"}
+    assert (out["A"].Count, out["A"].Sum_Osbal_Eligible, out["A"].Sum_Osbal_Bads_Today) == (3, 90.75, 30.0)
+    assert (out["B"].Sum_Osbal_Eligible, out["B"].Sum_Osbal_Resignation, out["B"].Outstanding_Bad_Rate) == (0.0, 0.0, None)
