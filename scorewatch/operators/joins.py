@@ -1,4 +1,4 @@
-"""Join helpers."""
+"""Join helpers."""
 
 from __future__ import annotations
 
