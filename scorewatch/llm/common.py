@@ -82,19 +82,24 @@ _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD1342543DE82EF95)
 
 
-def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash and start of every word (polynomial over its bytes, then mixed)."""
+def word_bytes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of ``raw``: their starts in it and lengths; their bytes, each byte's place in its word, and where each word's bytes begin."""
     a = np.frombuffer(raw, np.uint8)
     inside = ~_BREAK[a]
     starts = np.flatnonzero(inside & ~np.concatenate(([False], inside[:-1])))
-    if not starts.size:
-        return np.zeros(0, np.uint64), starts
     at = np.flatnonzero(inside)
     first = np.searchsorted(at, starts)
     lengths = np.diff(np.append(first, len(at)))
-    place = np.arange(len(at)) - np.repeat(first, lengths)
+    return starts, lengths, a[at], np.arange(len(at)) - np.repeat(first, lengths), first
+
+
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash and start of every word (polynomial over its bytes, then mixed)."""
+    starts, lengths, letters, place, first = word_bytes(raw)
+    if not starts.size:
+        return np.zeros(0, np.uint64), starts
     powers = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(int(lengths.max()) - 1, _BASE))))
-    return mix64(np.add.reduceat(_BYTE[a[at]] * powers[place], first) + lengths.astype(np.uint64)), starts
+    return mix64(np.add.reduceat(_BYTE[letters] * powers[place], first) + lengths.astype(np.uint64)), starts
 
 
 def number_rows(df: DataFrame, order: list, name: str, lengths: str | None = None) -> DataFrame:

@@ -8,7 +8,8 @@ fixed size whatever the vocabulary, while the word counts of the corpus stay
 in Spark.
 
 Counts. Texts are staged in blocks. Each block's distinct words are counted
-once, the counts of a word are added up over all blocks, and every block gets
+(once for each task that reads a part of the block), the counts of a word are
+added up over all of these, and every block gets
 the corpus counts of its own words back (a co-group), so no table of all
 words is broadcast or collected.
 
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.staging import stage
-from .common import arrow_schema, bounded_batches, id_remainder, release_memory, slices, table, text_bytes, word_hashes
+from .common import arrow_schema, bounded_batches, id_remainder, mix64, release_memory, slices, table, text_bytes, word_bytes
 
 STATES = 8
 CLASSES = 1 << 14
@@ -133,9 +134,27 @@ def segments(texts: list[np.ndarray], size: int = SEGMENT) -> tuple[np.ndarray,
     return tokens, begins, lengths
 
 
+def _of_place(letters: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """64 mixed bits for a byte at its place in a word."""
+    return mix64(mix64((place.astype(np.uint64) << np.uint64(8) | letters) + np.uint64(1)) ^ np.uint64(0x9E3779B97F4A7C15))
+
+
+PLACES = 64
+_LETTER = _of_place(np.tile(np.arange(256, dtype=np.uint8), PLACES), np.repeat(np.arange(PLACES), 256))
+
+
+def word_keys(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit key and start of every word: mixed bits of (place, byte) added up, so that no pattern of letters cancels out."""
+    starts, lengths, letters, place, first = word_bytes(raw)
+    if not starts.size:
+        return np.zeros(0, np.uint64), starts
+    bits = _LETTER[place << 8 | letters] if lengths.max() <= PLACES else _of_place(letters, place)
+    return mix64(np.add.reduceat(bits, first) + lengths.astype(np.uint64)), starts
+
+
 def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all texts together, and where each text's words begin and end in them."""
-    h, starts = word_hashes(b"\n".join(texts).lower())
+    """Word keys of all texts together, and where each text's words begin and end in them."""
+    h, starts = word_keys(b"\n".join(texts).lower())
     return h, np.searchsorted(starts, np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts]))))
 
 
@@ -151,7 +170,10 @@ def class_texts(texts: list[bytes]) -> list[np.ndarray]:
 
 
 def block_words(texts: DataFrame) -> DataFrame:
-    """(block, word, own): training count in the block of each of its distinct words (0 if only held out)."""
+    """(block, word, own): training count of each distinct word in what a task reads of the block (0 if only held out).
+
+    A block that straddles row groups of the staged file may be read in parts, by several tasks.
+    """
     ddl = "block long, word long, own long"
     schema = arrow_schema(ddl)
 
@@ -169,7 +191,7 @@ def block_words(texts: DataFrame) -> DataFrame:
         for batch in batches:
             blocks, held_out, raw = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False), text_bytes(batch.column(2))
             for block in np.unique(blocks).tolist():
-                for other in [b for b in held if b != block]:              # blocks are staged one after another
+                for other in [b for b in held if b != block]:              # a task reads its part of a block in one go
                     yield done(other)
                 for keep in (False, True):
                     own = [raw[i] for i in np.flatnonzero((blocks == block) & (held_out == (not keep)))]
@@ -250,9 +272,10 @@ def hmm_scores(docs: DataFrame, held_out, states: int = STATES, passes: int = 2,
     block = F.shiftleft(F.shiftright(place, 33), 22) + F.floor(place.bitwiseAND(F.lit((1 << 33) - 1)) / BLOCK_ROWS)
     texts = stage(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                               held_out.alias("held_out"), block.alias("block")), "hmm-texts", compression="zstd")
-    of_word = Window.partitionBy("word")                        # at most one row for each block
-    words = stage(block_words(texts).select("block", "word", F.sum("own").over(of_word).alias("count"),
-                                            (F.min("block").over(of_word) == F.col("block")).alias("first")), "hmm-words")
+    of_word = Window.partitionBy("word").orderBy("block")       # one row for each block, or for each part of it that a task reads
+    every = of_word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    words = stage(block_words(texts).select("block", "word", F.sum("own").over(every).alias("count"),
+                                            (F.row_number().over(of_word) == 1).alias("first")), "hmm-words")
     per_class = (words.where("first AND count > 0").groupBy(F.col("word").bitwiseAND(F.lit(CLASSES - 1)).alias("class"))
                  .agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("v")).toArrow())     # at most CLASSES lines
     ends = texts.where(~F.col("held_out")).count()
@@ -279,11 +302,12 @@ def hmm_scores(docs: DataFrame, held_out, states: int = STATES, passes: int = 2,
             h, at = tokens_of(raw[a:b])
             c = counts[np.searchsorted(keys, h)] if len(h) else np.zeros(0)
             cls = classes_of(h)
-            sums = [np.concatenate(([0.0], np.cumsum(x))) for x in (
-                (c > 0).astype(float), np.log10((c + SMOOTH) / (n_all + SMOOTH * (v_all + 1))),
-                np.log10((c + SMOOTH) / (n_of[cls] + SMOOTH * (v_of[cls] + 1))))]
-            known, unigram, inner = (s[at[1:]] - s[at[:-1]] for s in sums)
-            n_tokens.append(np.diff(at) + 1)
+            words = np.diff(at)
+            own = np.repeat(np.arange(b - a), words)                # each text's words are added up by themselves
+            known, unigram, inner = (np.bincount(own, x, b - a) for x in (
+                c > 0, np.log10((c + SMOOTH) / (n_all + SMOOTH * (v_all + 1))),
+                np.log10((c + SMOOTH) / (n_of[cls] + SMOOTH * (v_of[cls] + 1)))))
+            n_tokens.append(words + 1)
             n_known.append(known + (ends > 0))
             base.append(unigram + np.log10((ends + SMOOTH) / (n_all + SMOOTH * (v_all + 1))))
             within.append(inner)

@@ -127,3 +127,36 @@ def test_model_beats_the_base_on_held_out_texts(spark):
 def test_within_class_shares_and_the_end_sum_to_one():
     texts = class_texts([b"One two", b"", b" one\n"])
     assert [t[-1] for t in texts] == [CLASSES] * 3 and [len(t) for t in texts] == [3, 1, 2] and texts[0][0] == texts[2][0]
+
+
+def alternating(n, a, b):
+    """The Thue-Morse word of n letters: sums of powers of one base cancel out between it and its complement."""
+    return "".join(a if i.bit_count() % 2 == 0 else b for i in range(n))
+
+
+def test_words_of_patterned_letters_stay_apart(spark):
+    rows = [(i, f"w{i} common words here") for i in range(50)]
+    rows += [(100, alternating(2048, "p", "q")), (101, alternating(2048, "q", "p"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    from scorewatch.llm.common import id_remainder
+    assert got(hmm_scores(docs, id_remainder("doc_id", 10) == 0, passes=1).collect()) == plain_base(rows, fold)
+
+
+def test_blocks_over_several_row_groups_count_once(spark):
+    from scorewatch.llm.common import id_remainder
+    hadoop, small = spark.sparkContext._jsc.hadoopConfiguration(), {"parquet.block.size": "65536", "parquet.block.size.row.check.min": "10"}
+    conf = {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "1k"}
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 100_000, 300))) for i in range(400)]      # hardly compressible
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    try:
+        for k, v in small.items():
+            hadoop.set(k, v)
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert got(hmm_scores(docs, id_remainder("doc_id", 10) == 0, passes=1).collect()) == plain_base(rows, fold)
+    finally:
+        for k in small:
+            hadoop.unset(k)
+        for k in conf:
+            spark.conf.unset(k)
