@@ -13,17 +13,18 @@ added up over all of these, and every block gets
 the corpus counts of its own words back (a co-group), so no table of all
 words is broadcast or collected.
 
-Training. Baum-Welch on every training text: tasks run forward-backward over
-segments of SEGMENT tokens, and Spark adds up the expected counts of starts,
-moves and emissions over all partitions (a fixed number of sums reaches the
-driver). The first parameters come from a bounded sample (``sample`` texts)
-that is fitted in one task; the counts of the full passes replace them.
+Training. Baum-Welch on every training text, in every pass: tasks run
+forward-backward over segments of SEGMENT tokens, and Spark adds up the
+expected counts of starts, moves and emissions over all partitions (a fixed
+number of sums reaches the driver). The first parameters are the classes'
+shares of all training tokens, varied at random by state; no text counts for
+more than another. The passes read the texts' class sequences, staged once.
 
 Scoring. The scaled forward recursion runs over each whole text and gives
 its exact likelihood under the model.
 
 Defined cases: a null text is empty (its end alone); without training texts
-all parameters are uniform; a null id counts as empty text in the fold rule;
+the parameters stay as first set; a null id counts as empty text in the fold rule;
 null and repeated ids are scored row by row; an empty table gives an empty
 result; other columns are ignored.
 """
@@ -205,17 +206,29 @@ def block_words(texts: DataFrame) -> DataFrame:
     return texts.select("block", "held_out", "text").mapInArrow(run, ddl)
 
 
-def baum_welch_pass(texts: DataFrame, model: Hmm, share: np.ndarray) -> Hmm:
+def class_sequences(texts: DataFrame) -> DataFrame:
+    """(classes): each training text's class sequence, as 16-bit integers."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = text_bytes(batch.column(0))
+            for a, b in slices([len(t) for t in raw], SLICE_BYTES):
+                yield pa.RecordBatch.from_arrays([pa.array([c.astype("<i2").tobytes() for c in class_texts(raw[a:b])], pa.binary())], ["classes"])
+        release_memory()
+
+    return texts.where(~F.col("held_out")).select("text").mapInArrow(run, "classes binary")
+
+
+def baum_welch_pass(sequences: DataFrame, model: Hmm, share: np.ndarray) -> Hmm:
     """One pass over all training texts; the expected counts are added up across partitions."""
     k, n = len(model.start), len(model.emit)
-    held = texts.sparkSession.sparkContext.broadcast(model)
+    held = sequences.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(k + k * k + n * k)
         for batch in batches:
-            raw = text_bytes(batch.column(0))
+            raw = batch.column(0).to_pylist()
             for a, b in slices([len(t) for t in raw], SLICE_BYTES):
-                tokens, begins, lengths = segments(class_texts(raw[a:b]))
+                tokens, begins, lengths = segments([np.frombuffer(t, "<i2") for t in raw[a:b]])
                 for at in range(0, len(begins), 4096):
                     part = slice(at, at + 4096)
                     total += np.concatenate([x.ravel() for x in held.value.expected(tokens[part], begins[part], lengths[part])])
@@ -223,7 +236,7 @@ def baum_welch_pass(texts: DataFrame, model: Hmm, share: np.ndarray) -> Hmm:
         release_memory()
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "value"])
 
-    sums = (texts.where(~F.col("held_out")).select("text").mapInArrow(run, "at long, value double")
+    sums = (sequences.mapInArrow(run, "at long, value double")
             .groupBy("at").agg(F.sum("value").alias("value")).toArrow())           # at most K + K*K + K*(CLASSES+1) lines
     held.unpersist()
     total = np.zeros(k + k * k + n * k)
@@ -231,40 +244,10 @@ def baum_welch_pass(texts: DataFrame, model: Hmm, share: np.ndarray) -> Hmm:
     return Hmm.of_counts(total[:k], total[k:k + k * k].reshape(k, k), total[k + k * k:].reshape(n, k), share)
 
 
-def sample_fit(texts: DataFrame, share: np.ndarray, states: int, sample: int, total: int, rounds: int = 15) -> Hmm:
-    """First parameters from about ``sample`` of ``total`` training texts, in one task.
-
-    A hash range keeps four times as many texts as are wanted, so that what
-    the tasks send for the final pick does not grow with their number.
-    """
-    span = 1 << 30
-    near = F.pmod(F.xxhash64("doc_id", "text"), F.lit(span))
-    picked = (texts.where(~F.col("held_out")).select("text", near.alias("_h"))
-              .where(F.col("_h") < span * min(1.0, 4 * sample / max(1, total))).orderBy("_h").limit(sample))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw = sorted(t for batch in batches for t in text_bytes(batch.column(0)))
-        model = first_guess(share, states)
-        if raw:
-            tokens, begins, lengths = segments(class_texts(raw))
-            for _ in range(rounds):
-                sums = [0.0, 0.0, 0.0]
-                for at in range(0, len(begins), 4096):
-                    part = slice(at, at + 4096)
-                    sums = [x + y for x, y in zip(sums, model.expected(tokens[part], begins[part], lengths[part]), strict=True)]
-                model = Hmm.of_counts(*sums, share)
-        flat = np.concatenate([x.ravel() for x in (model.start, model.move, model.emit)])
-        yield pa.RecordBatch.from_arrays([pa.array([flat.astype("<f8").tobytes()], pa.binary())], ["model"])
-
-    flat = np.frombuffer(picked.select("text").coalesce(1).mapInArrow(run, "model binary").first()[0], "<f8")
-    k = states
-    return Hmm(flat[:k], flat[k:k + k * k].reshape(k, k), flat[k + k * k:].reshape(-1, k))
-
-
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def hmm_scores(docs: DataFrame, held_out, states: int = STATES, passes: int = 2, sample: int = 1500,
+def hmm_scores(docs: DataFrame, held_out, states: int = STATES, passes: int = 4,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """SCORES for every row of ``docs``; ``held_out`` is a boolean column, learning uses the rest."""
     bounded_batches(docs.sparkSession)
@@ -285,9 +268,9 @@ def hmm_scores(docs: DataFrame, held_out, states: int = STATES, passes: int = 2,
     n_class[CLASSES], v_class[CLASSES] = ends, min(ends, 1)
     n_all, v_all = n_class.sum(), v_class.sum()
     share = (n_class + 0.5) / (n_class + 0.5).sum()
-    model = sample_fit(texts, share, states, sample, ends)
+    model, sequences = first_guess(share, states), stage(class_sequences(texts), "hmm-classes", compression="zstd")
     for _ in range(passes if ends else 0):
-        model = baum_welch_pass(texts, model, share)
+        model = baum_welch_pass(sequences, model, share)
     held = docs.sparkSession.sparkContext.broadcast((model, n_class, v_class))
     schema = arrow_schema(SCORES)
 

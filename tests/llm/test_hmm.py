@@ -160,3 +160,26 @@ def test_blocks_over_several_row_groups_count_once(spark):
             hadoop.unset(k)
         for k in conf:
             spark.conf.unset(k)
+
+
+def test_training_counts_every_text_in_every_pass(spark):
+    from scorewatch.llm.common import id_remainder
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{x}" for x in rng.integers(0, 40, 50))) for i in range(2000)]   # more than 1,500 texts
+    train = [t.encode() for d, t in rows if not fold(d)]
+    counts = Counter(w for t in train for w in words_of(t.decode()))
+    classes = {w: int(class_texts([w.encode()])[0][0]) for w in {w for _, t in rows for w in words_of(t)}}
+    n, v = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
+    for w, c in counts.items():
+        n[classes[w]] += c
+        v[classes[w]] += 1
+    n[CLASSES], v[CLASSES] = len(train), 1
+    share = (n + 0.5) / (n + 0.5).sum()
+    model, parts = first_guess(share, 8), segments(class_texts(train))
+    for _ in range(3):
+        model = Hmm.of_counts(*model.expected(*parts), share)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    have = {r.doc_id: r.score for r in hmm_scores(docs, id_remainder("doc_id", 10) == 0, passes=3).collect()}
+    for (d, t), whole in zip(rows, model.forward(class_texts([t.encode() for _, t in rows])), strict=True):
+        within = sum(math.log10((counts[w] + 0.1) / (n[classes[w]] + 0.1 * (v[classes[w]] + 1))) for w in words_of(t))
+        assert have[d] == pytest.approx(within + whole / math.log(10), rel=1e-6)
