@@ -29,3 +29,19 @@ def test_every_core_query_has_a_twin():
 def test_query_matches_twin(spark, duck, name):
     from oracle_check import check
     assert check(spark, duck, name, queries()[name], oracle_sql()[name], SF, verbose=True)
+
+
+def test_a_report_that_stages_nothing_needs_no_checkpoint_folder(spark, monkeypatch, tmp_path):
+    import datetime
+
+    from scorewatch import session
+
+    def refuse(spark):
+        raise RuntimeError("no shared folder")
+
+    rows = [(1000.0, 0.1, "O", datetime.datetime(1998, 1, 5)), (500.0, 0.0, "F", datetime.datetime(1998, 1, 9))]
+    (spark.createDataFrame(rows, "l_extendedprice double, l_discount double, l_linestatus string, l_shipdate timestamp_ntz")
+     .write.parquet(f"{tmp_path}/lineitem.parquet"))
+    monkeypatch.setattr(session, "ensure_checkpoint_dir", refuse)
+    out = queries()["r11_utilisation"](spark, str(tmp_path)).collect()
+    assert [(r.ReportMonth, r.CreditLimit, r.UnpaidPrincipal) for r in out] == [("1998-01", 1500.0, 900.0)]
