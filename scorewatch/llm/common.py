@@ -14,8 +14,8 @@ from ..plans.staging import stage
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most 8 MB: what a Python worker holds at once does not grow with the texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    """Arrow batches of about 2 MB (or one row): neither a Python worker nor the executor beside it holds more of the texts at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
 
 
 def release_memory() -> None:

@@ -83,6 +83,7 @@ def tokenised_pieces(df: DataFrame, tokenizer_path: str, pattern: str, end_id: i
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = ByteBpe(tokenizer_path, pattern), end_id.to_bytes(4, "little")     # held for the task, not for the worker's life
+        release_memory()                        # what reading its file took
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part, rows = batch.slice(at, 1000), []

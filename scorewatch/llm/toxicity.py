@@ -13,7 +13,8 @@ hashes (copies share a fold) and each fold is scored by a model whose ratios
 and weights come from the other folds. A logistic curve through these
 margins gives the scores' slope; 0.5 lies where missed texts plus
 ``false_alarm_cost`` times false alarms (shares of their classes) are least.
-The fits run as tasks beside each other.
+The fits run beside each other in ``folds`` tasks, each holding its rows'
+features once; with as many machines none holds two fits.
 
 The classifier is fitted on a bounded sample, the documented parameter
 ``sample_per_class`` (the labelled ids with the smallest hash per class, one
@@ -230,6 +231,11 @@ def log_ratios(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int,
     return np.where(clean + toxic > 0, ratio, 0.0)
 
 
+def fit_tasks(folds: int) -> list[list[int]]:
+    """The fits of each task, by the fold left out (``folds``: none): the last task does two, one after the other on the same rows."""
+    return [[f] for f in range(folds - 1)] + [[folds - 1, folds]]
+
+
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", sample_per_class: int = SAMPLE_PER_CLASS, smoothing: float = 1.0,
           l2: float = 1e-2, folds: int = FOLDS, false_alarm_cost: float | None = None) -> NaiveBayesLinear:
@@ -279,17 +285,19 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     order = np.argsort(keys)
     by_fold = np.stack([counts.column(f"c{c}").to_numpy()[order] for c in range(2 * folds)]).reshape(folds, 2, len(keys))
     index = KeyIndex(keys[order])
-    held = sample.sparkSession.sparkContext.broadcast((index, by_fold))
+    held, tasks = sample.sparkSession.sparkContext.broadcast((index, by_fold)), fit_tasks(folds)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One model for each value of ``fit`` in the task: all folds but this one; the last value leaves none out."""
+        """The models of each value of ``task``: all folds but one, or all."""
         index, by_fold = held.value
         rows: dict[int, list] = {}
         for batch in batches:
-            for left_out, *row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows.setdefault(left_out, []).append((*row, index.positions(text)))
-        for left_out, own in rows.items():
+            for task, *row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows.setdefault(task, []).append((*row, index.positions(text)))
+        for own in rows.values():
             own.sort(key=lambda r: r[:2])
+        for task, left_out in [(t, f) for t in rows for f in tasks[t]]:
+            own = rows[task]
             y, fold = np.array([r[2] for r in own], float), np.array([r[3] for r in own])
             used = [f for f in range(folds) if f != left_out]
             n = classes[used].sum(axis=0)
@@ -306,8 +314,8 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
                 ["fit", "weights", "bias", "labels", "margins"])
         release_memory()
 
-    fits = F.explode(F.array(*[F.lit(f) for f in range(folds + 1)])).alias("fit")
-    fitted = {r["fit"]: r for r in sample.select(fits, "_h", "_id", "_y", "_fold", "_text").repartitionByRange(folds + 1, "fit")
+    given_to = F.explode(F.array(*[F.lit(t) for t in range(len(tasks))])).alias("task")
+    fitted = {r["fit"]: r for r in sample.select(given_to, "_h", "_id", "_y", "_fold", "_text").repartitionByRange(len(tasks), "task")
               .mapInArrow(fit, "fit int, weights binary, bias double, labels binary, margins binary").collect()}
     held.unpersist()
     if folds not in fitted:                    # no text of one class is in the documents

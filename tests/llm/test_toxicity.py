@@ -176,3 +176,23 @@ def test_the_sample_is_bounded(spark, bound):
     ids = [r.doc_id for y in (0, 1) for r in sorted((r for r in hashed if r.y == y), key=lambda r: (r.h, r.doc_id))[:bound]]
     texts = docs.where(F.col("doc_id").isin(ids)).select("text").collect()
     assert len(model.weights) == len(set().union(*(plain_grams(r.text or "") for r in texts)))
+
+
+def test_every_model_is_fitted_once_in_as_many_tasks_as_folds():
+    for folds in (1, 2, 3, 5):
+        tasks = toxicity.fit_tasks(folds)
+        assert len(tasks) == folds and sorted(sum(tasks, [])) == list(range(folds + 1))
+
+
+def test_a_worker_gets_few_texts_at_once(spark):
+    from scorewatch.llm.common import bounded_batches
+
+    def sizes(batches):
+        import pyarrow as pa
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["bytes"])
+
+    bounded_batches(spark)
+    texts = spark.range(0, 1200, 1, 1).select(F.expr("repeat('ab cd', 2000)").alias("text"))
+    held = [r.bytes for r in texts.mapInArrow(sizes, "bytes long").collect()]
+    assert sum(held) > 12_000_000 and max(held) < 3_000_000
