@@ -94,20 +94,21 @@ def leaf_hashes(records: DataFrame, first_byte, end_byte) -> DataFrame:
 def tree_levels(leaves: DataFrame, fanout: int, height: int) -> list[DataFrame]:
     """(node, hash, first_byte, end_byte) of the leaves, then of each level above up to the root."""
     levels = [leaves]
-    for _ in range(height):
+    for level in range(1, height + 1):
         child = F.struct((F.col("node") % fanout).alias("place"), "hash")
         above = levels[-1].groupBy(F.floor(F.col("node") / fanout).alias("node")).agg(
             F.array_sort(F.collect_list(child)).alias("children"),          # at most ``fanout`` entries
             F.min("first_byte").alias("first_byte"), F.max("end_byte").alias("end_byte"))
         joined = F.array_join(F.transform("children", lambda c: F.concat_ws(":", c["place"].cast("string"), c["hash"])), "|")
-        levels.append(stage(above.select("node", F.sha2(joined, 256).alias("hash"), "first_byte", "end_byte"), "warc-level"))
+        levels.append(stage(above.select("node", F.sha2(joined, 256).alias("hash"), "first_byte", "end_byte"), "warc-level",
+                            rows=fanout ** (height - level)))
     return levels
 
 
 def differing_leaves(primary: list[DataFrame], replica: list[DataFrame], fanout: int) -> DataFrame:
     """Leaf nodes that differ or that one side lacks, found from the root down through differing nodes only."""
     suspects = None
-    for ours, theirs in zip(reversed(primary), reversed(replica), strict=True):
+    for level, ours, theirs in reversed(list(zip(range(len(primary)), primary, replica, strict=True))):
         a, b = ours.select("node", "hash"), theirs.select(F.col("node").alias("_node"), F.col("hash").alias("_hash"))
         if suspects is not None:
             parents = suspects.select(F.col("node").alias("_parent"))
@@ -115,7 +116,8 @@ def differing_leaves(primary: list[DataFrame], replica: list[DataFrame], fanout:
             b = b.join(parents, F.floor(F.col("_node") / fanout) == F.col("_parent"), "left_semi")
         suspects = stage(a.join(b, F.col("node") == F.col("_node"), "full")
                          .where(~F.col("hash").eqNullSafe(F.col("_hash")))
-                         .select(F.coalesce("node", "_node").alias("node")), "warc-suspects")
+                         .select(F.coalesce("node", "_node").alias("node")), "warc-suspects",
+                         rows=fanout ** (len(primary) - 1 - level))
     return suspects
 
 
@@ -158,8 +160,8 @@ def fixity_audit(primary: DataFrame, replica: DataFrame, id_col: str, record_col
         height += 1
     none = F.lit(None).cast("long")
     bad = differing_leaves(
-        tree_levels(stage(leaf_hashes(ours, F.col("row_offset"), F.col("row_offset") + F.col("length")), "warc-leaves"), fanout, height),
-        tree_levels(stage(leaf_hashes(theirs, none, none), "warc-leaves"), fanout, height), fanout)
+        tree_levels(stage(leaf_hashes(ours, F.col("row_offset"), F.col("row_offset") + F.col("length")), "warc-leaves", rows=leaves), fanout, height),
+        tree_levels(stage(leaf_hashes(theirs, none, none), "warc-leaves", rows=leaves), fanout, height), fanout)
     # Records meet here, and only those of differing leaves.
     a = stage(ours.join(bad, "node", "left_semi").select("record_id", "digest", "row_no"), "warc-doubtful")
     b = stage(numbered(theirs.join(bad, "node", "left_semi").select("record_id", "digest", "length")), "warc-doubtful")

@@ -19,10 +19,14 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
+#: Rows a task writes of a table whose size is known.
+ROWS_A_TASK = 20_000
+
 _STAGED: list[str] = []
 _CURRENT: ContextVar[list[str]] = ContextVar("staged", default=_STAGED)
 
@@ -47,16 +51,37 @@ class Scope:
             _CURRENT.reset(token)
 
 
-def stage(df: DataFrame, name: str = "stage", compression: str = "snappy") -> DataFrame:
-    """Write ``df`` and read it back."""
+def stage(df: DataFrame, name: str = "stage", compression: str = "snappy", rows: int | None = None) -> DataFrame:
+    """Write ``df`` and read it back.
+
+    ``rows`` (None: not known) is the most rows it can have: no more tasks write it than that
+    takes, as every file costs its executor more than a few rows do (on a local folder, processes).
+    """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(rows // ROWS_A_TASK + 1)
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/scorewatch-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").option("compression", compression).parquet(path)
     _CURRENT.get().append(path)
+    release_driver_memory(spark)
     return spark.read.parquet(path)
 
 
+def release_driver_memory(spark: SparkSession) -> None:
+    """Have the driver's JVM give memory that it has freed back to the system.
+
+    A run of hundreds of stages leaves much of it in the allocator, beside the heap. JVMs
+    without the command (before 17.0.9, or not on Linux) go on as they are.
+    """
+    try:
+        command = spark._jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        server = spark._jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        server.invoke(command, "systemTrimNativeHeap", None, None)
+    except Py4JError:
+        pass
+
+
 def adopt(path: str) -> str:
     """Have a table that is written elsewhere dropped with the staged ones."""
     _CURRENT.get().append(path)

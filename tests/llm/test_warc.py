@@ -115,3 +115,14 @@ def test_query_equals_sql(spark):
     got = QUERIES["op6_merkle_fixity"](spark, SF).select("page_id", "row_no", "record_offset", "record_length", "digest", "status").collect()
     assert sorted(map(tuple, got), key=str) == sorted(rows, key=str)
     assert {r.status for r in got} >= {"ok", "extra"}
+
+
+def test_small_levels_take_one_file_each(spark):
+    leaves = numbered(manifest(records(spark, ROWS), "page_id", "record")).select(
+        F.col("row_no").alias("node"), F.col("digest").alias("hash"), F.col("row_offset").alias("first_byte"),
+        (F.col("row_offset") + F.col("length")).alias("end_byte")).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert [len(level.inputFiles()) for level in tree_levels(leaves, 4, 4)[1:]] == [1, 1, 1, 1]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
