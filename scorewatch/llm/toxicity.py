@@ -317,7 +317,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     given_to = F.explode(F.array(*[F.lit(t) for t in range(len(tasks))])).alias("task")
     fitted = {r["fit"]: r for r in sample.select(given_to, "_h", "_id", "_y", "_fold", "_text").repartitionByRange(len(tasks), "task")
               .mapInArrow(fit, "fit int, weights binary, bias double, labels binary, margins binary").collect()}
-    held.unpersist()
+    held.destroy()                             # the driver's copy goes too
     if folds not in fitted:                    # no text of one class is in the documents
         prior = (classes[:, 1].sum() + 0.5) / (classes.sum() + 1)
         return NaiveBayesLinear(KeyIndex(np.zeros(0, np.uint64)), np.zeros(0), float(np.log(prior / (1 - prior))))

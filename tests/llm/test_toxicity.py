@@ -196,3 +196,13 @@ def test_a_worker_gets_few_texts_at_once(spark):
     texts = spark.range(0, 1200, 1, 1).select(F.expr("repeat('ab cd', 2000)").alias("text"))
     held = [r.bytes for r in texts.mapInArrow(sizes, "bytes long").collect()]
     assert sum(held) > 12_000_000 and max(held) < 3_000_000
+
+
+def test_the_fit_leaves_no_copy_of_its_counts_at_the_driver(spark, monkeypatch):
+    from pyspark.core.broadcast import Broadcast
+    gone, destroy = [], Broadcast.destroy
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: (gone.append(self), destroy(self, *a))[1])
+    docs = spark.createDataFrame([(i, "you idiot" if i % 2 else "a fine day") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    model = train(docs, labels)
+    assert len(gone) == 1 and model.score("you idiot") > model.score("a fine day")
